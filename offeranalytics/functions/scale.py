@@ -23,9 +23,9 @@ def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def copies(df: DataFrame, count: str, by: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Repeat each row ``count`` times. A row with very many copies is first split into shares spread over tasks."""
-    most = df.agg(F.max(count)).first()[0] or 0
+def copies(df: DataFrame, count: str, by: list[str], most: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Repeat each row ``count`` (at most ``most``) times. Where some row has very many copies, rows are first
+    split into shares that spread over tasks."""
     if most <= hot_rows:
         return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(count).cast("int")))).drop("_copy", count)
     shares = F.ceil(F.col(count) / hot_rows).cast("int")

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import quality_plans, funnel_plans  # noqa: F401
+from . import feature_plans, funnel_plans, quality_plans  # noqa: F401
 from .registry import QUERIES  # noqa: F401
