@@ -23,7 +23,7 @@ def poisson_weight(text: Column) -> Column:
 
 def slice_sums(df: DataFrame, value: str, key: Column, arms: list[str], slices: int = SLICES) -> DataFrame:
     rows = df.filter(F.col(value).isNotNull()).withColumn("slice", _hash32(key) % slices)
-    return rows.groupBy(*arms, "slice").agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("s"), F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*arms, "slice").agg((F.sum(F.col(value).cast("decimal(18,2)")) * 100).cast("double").alias("cents"), F.count(F.lit(1)).alias("n"))
 
 
 def replicate_means(sums: DataFrame, arms: list[str], replicates: int) -> DataFrame:
@@ -34,7 +34,7 @@ def replicate_means(sums: DataFrame, arms: list[str], replicates: int) -> DataFr
     weighted = spread.withColumn("w", poisson_weight(F.concat_ws(":", *arms, "slice", "replicate")))
     total = F.sum(F.col("w") * F.col("n"))
     return weighted.groupBy(*arms, "replicate").agg(
-        (F.sum(F.col("w").cast("decimal(10,0)") * F.col("s").cast("decimal(27,2)")).cast("double") / F.when(total > 0, total)).alias("m"))
+        (F.sum(F.col("w") * F.col("cents")) / F.when(total > 0, total) / 100).alias("m"))
 
 
 def _interval(value, level: float) -> list[Column]:
@@ -47,7 +47,7 @@ def mean_interval(df: DataFrame, value: str, key: Column, arms: list[str], repli
     """Mean and percentile interval per arm."""
     sums = slice_sums(df, value, key, arms, slices)
     means = replicate_means(sums, arms, replicates).groupBy(*arms).agg(*_interval("m", level))
-    observed = sums.groupBy(*arms).agg((F.sum("s").cast("double") / F.sum("n")).alias("mean"), F.sum("n").alias("n"))
+    observed = sums.groupBy(*arms).agg((F.sum("cents") / F.sum("n") / 100).alias("mean"), F.sum("n").alias("n"))
     return observed.join(means, arms)
 
 

@@ -215,9 +215,9 @@ def _replicates(rows: str, arms: list[str], replicates: int) -> str:
     steps = " + ".join(f"CAST(h >= {s} AS INT)" for s in b.POISSON_STEPS)
     text = " || ':' || ".join(f"CAST({x} AS VARCHAR)" for x in [*arms, "slice", "i"])
     return f"""
-SELECT {a}, i, CAST(sum(CAST(w AS DECIMAL(10,0)) * CAST(s AS DECIMAL(27,2))) AS DOUBLE) / nullif(sum(w * n), 0) m FROM (SELECT *, {steps} w FROM (
-SELECT {a}, slice, s, n, i, ('0x' || substr(md5({text}), 1, 8))::BIGINT h FROM (
-SELECT {a}, ('0x' || substr(md5(key), 1, 8))::BIGINT % {b.SLICES} slice, sum(CAST(v AS DECIMAL(18,2))) s, count(*) n FROM ({rows}) GROUP BY ALL)
+SELECT {a}, i, sum(w * cents) / nullif(sum(w * n), 0) / 100 m FROM (SELECT *, {steps} w FROM (
+SELECT {a}, slice, cents, n, i, ('0x' || substr(md5({text}), 1, 8))::BIGINT h FROM (
+SELECT {a}, ('0x' || substr(md5(key), 1, 8))::BIGINT % {b.SLICES} slice, CAST(sum(CAST(v AS DECIMAL(18,2))) * 100 AS DOUBLE) cents, count(*) n FROM ({rows}) GROUP BY ALL)
 CROSS JOIN range(1, {replicates + 1}) r(i))) GROUP BY {a}, i"""
 
 
