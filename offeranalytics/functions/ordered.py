@@ -68,17 +68,18 @@ def average_ranks(counted: DataFrame, value: str, n: str = "n", by=()) -> DataFr
     return ranked.withColumn("rank", F.col("before") + (F.col(n) + 1) / 2)
 
 
-def row_numbers(df: DataFrame, value: str, key: str, name: str = "row_number") -> DataFrame:
-    """Position 1..n of every row ordered by value, ties by the md5 of ``key``.
+def row_numbers(df: DataFrame, columns: dict[str, str], key: str) -> DataFrame:
+    """Position 1..n of every row by each ``new: column`` ordering, ties by the md5 of ``key``: (key, new...).
 
     Ties are also cut into slices of the md5, so a value shared by a third of all rows still spreads over tasks.
     """
-    hashed = df.withColumn("_hash", F.md5(F.col(key).cast("string"))).withColumn("_slice", F.substring("_hash", 1, 3))
-    counted = durable(hashed.groupBy(value, "_slice").agg(F.count(F.lit(1)).alias("_n")))
-    before = prefix_sums(counted, value, {"_before": "_n"}, then=["_slice"]).drop("_n")
-    inside = Window.partitionBy(value, "_slice").orderBy("_hash")
-    numbered = hashed.join(before, [value, "_slice"]).withColumn(name, F.col("_before") + F.row_number().over(inside))
-    return numbered.drop("_hash", "_slice", "_before")
+    hashed = unpivot(df, columns.values(), [key]).withColumn("_hash", F.md5(F.col(key).cast("string"))).withColumn(
+        "_slice", F.substring("_hash", 1, 3))
+    counted = durable(hashed.groupBy("metric", "value", "_slice").agg(F.count(F.lit(1)).alias("_n")))
+    before = prefix_sums(counted, "value", {"_before": "_n"}, by=["metric"], then=["_slice"]).drop("_n")
+    inside = Window.partitionBy("metric", "value", "_slice").orderBy("_hash")
+    numbered = hashed.join(before, ["metric", "value", "_slice"]).withColumn("_place", F.col("_before") + F.row_number().over(inside))
+    return numbered.groupBy(key).agg(*[F.max(F.when(F.col("metric") == c, F.col("_place"))).alias(new) for new, c in columns.items()])
 
 
 def quantile_bucket(row_number, rows, q: int = 5) -> Column:

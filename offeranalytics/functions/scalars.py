@@ -147,12 +147,17 @@ def select_existing(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in mapping.items() if old in df.columns])
 
 
+def column_stats(df: DataFrame, columns: list[str], **aggregates) -> dict[str, dict[str, float]]:
+    """Fitted statistics per column as plain numbers (one row from one pass), e.g. ``mean=F.avg``."""
+    row = df.agg(*[f(c).cast("double").alias(f"{name}:{c}") for c in columns for name, f in aggregates.items()]).first()
+    return {c: {name: row[f"{name}:{c}"] for name in aggregates} for c in columns}
+
+
 def min_max_scale(df: DataFrame, columns: list[str]) -> DataFrame:
     """Each column mapped to 0..1; a constant column becomes null (0/0)."""
-    limits = df.agg(F.struct(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]))
-    limits = limits.toDF("limits").scalar()
-    scaled = {c: ratio_or_null(F.col(c) - limits[c]["low"], limits[c]["high"] - limits[c]["low"]) for c in columns}
-    return df.withColumns(scaled)
+    limits = column_stats(df, columns, low=F.min, high=F.max)
+    return df.withColumns({c: ratio_or_null(F.col(c) - limits[c]["low"], F.lit(limits[c]["high"] - limits[c]["low"]))
+                           for c in columns if limits[c]["low"] is not None})
 
 
 def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -160,10 +165,7 @@ def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    stats = df.agg(F.struct(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c) for c in columns]))
-    stats = stats.toDF("stats").scalar()
+    fitted = column_stats(df, columns, mean=F.avg, sd=F.stddev_pop)
     return df.withColumns({
-        c: F.when(stats[c]["sd"] > 0, (F.col(c) - stats[c]["mean"]) / stats[c]["sd"]).otherwise(
-            F.when(F.col(c).isNotNull(), 0.0))
+        c: (F.col(c) - fitted[c]["mean"]) / fitted[c]["sd"] if fitted[c]["sd"] else F.when(F.col(c).isNotNull(), 0.0)
         for c in columns})

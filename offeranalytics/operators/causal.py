@@ -97,7 +97,7 @@ def segment_effects(exposure: DataFrame, clusters: DataFrame, min_customers: int
 
 def best_offers(effects: DataFrame) -> DataFrame:
     """Offer type with the largest effect per segment, ties by name; null where no effect could be formed."""
-    order = F.struct(F.col("ate"), F.concat(F.lit("-"), F.translate("offer_type", "abcdefghijklmnopqrstuvwxyz", "zyxwvutsrqponmlkjihgfedcba")))
+    order = F.struct(F.round("ate", 6), F.concat(F.lit("-"), F.translate("offer_type", "abcdefghijklmnopqrstuvwxyz", "zyxwvutsrqponmlkjihgfedcba")))
     return effects.groupBy("cluster").agg(
         F.max_by("offer_type", F.when(F.col("ate").isNotNull(), order)).alias("best_offer"), F.max("ate").alias("best_ate"))
 

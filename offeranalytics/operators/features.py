@@ -46,7 +46,8 @@ def customer_activity(events: DataFrame, portfolio: DataFrame, windows=(7, 14))
     Covers spend statistics, offer counts by stage and by type and stage, last activity and trailing spend.
     """
     typed = events.join(offer_columns(portfolio, ["offer_type"]), "offer_id", "left")
-    end = data_limits(events)["end"]
+    typed = typed.withColumn("_end", data_limits(events)["end"])
+    end = F.col("_end")
     paid = F.when(is_transaction(), F.col("amount"))
     stages = {"received": is_received(), "viewed": is_viewed(), "completed": is_completed()}
     by_type = [F.count_if(stages[s] & (F.col("offer_type") == t)).alias(f"{SHORT_TYPE[t]}_{s}")
@@ -112,9 +113,8 @@ def decay_columns(limits: Column, windows=(7, 14)) -> list[Column]:
 def rfm_scores(rf: DataFrame, q: int = 5) -> DataFrame:
     """Quintiles of recency (reversed), frequency and spend over all customers, and their sum."""
     rows = rf.agg(F.count(F.lit(1)).alias("n")).scalar()
-    scored = rf
-    for value, name in (("recency_days", "r"), ("frequency", "f"), ("monetary", "m")):
-        scored = ordered.row_numbers(scored, value, "id", f"_{name}")
+    places = ordered.row_numbers(rf, {"_r": "recency_days", "_f": "frequency", "_m": "monetary"}, "id")
+    scored = rf.join(places, "id")
     bucket = lambda n: ordered.quantile_bucket(F.col(f"_{n}"), rows, q)
     quintiles = {"r_quintile": q + 1 - bucket("r"), "f_quintile": bucket("f"), "m_quintile": bucket("m")}
     return scored.withColumns(quintiles).drop("_r", "_f", "_m").withColumn(
@@ -123,13 +123,15 @@ def rfm_scores(rf: DataFrame, q: int = 5) -> DataFrame:
 
 def rfm_features(profile: DataFrame, events: DataFrame, portfolio: DataFrame) -> DataFrame:
     joined = _all_customers(profile, customer_activity(events, portfolio), ["last_transaction", "frequency", "trans_total"])
-    return rfm_scores(scale.durable(joined.select("id", *recency_columns(data_limits(events)))))
+    dated = joined.withColumn("_limits", data_limits(events))
+    return rfm_scores(scale.durable(dated.select("id", *recency_columns(F.col("_limits")))))
 
 
 def time_decay_features(profile: DataFrame, events: DataFrame, portfolio: DataFrame, windows=(7, 14)) -> DataFrame:
     activity = customer_activity(events, portfolio, windows)
     needed = [f"spend_last_{d}d" for d in windows] + ["trans_avg", "last_receipt"]
-    return _all_customers(profile, activity, needed).select("id", *decay_columns(data_limits(events), windows))
+    dated = _all_customers(profile, activity, needed).withColumn("_limits", data_limits(events))
+    return dated.select("id", *decay_columns(F.col("_limits"), windows))
 
 
 def timing_features(profile: DataFrame, events: DataFrame) -> DataFrame:
@@ -143,12 +145,13 @@ def customer_features(profile: DataFrame, events: DataFrame, portfolio: DataFram
     """All customer features. ``as_of_hours`` ignores later events, so features cannot see the outcome they predict."""
     if as_of_hours is not None:
         events = events.filter(F.col("time") <= as_of_hours)
-    limits = data_limits(events)
     activity = customer_activity(events, portfolio).withColumnRenamed("person", "id")
     timing = response_times(events).withColumnRenamed("person", "id")
     # One stored table of customer rows: the three rankings and the final join all read it.
     base = scale.durable(
-        demographic_features(profile, as_of).join(activity, "id", "left").join(timing, "id", "left"))
+        demographic_features(profile, as_of).join(activity, "id", "left").join(timing, "id", "left")
+        .withColumn("_limits", data_limits(events)))
+    limits = F.col("_limits")
     rfm = rfm_scores(base.select("id", *recency_columns(limits)))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
     demographics = [c for c in base.columns[:base.columns.index("trans_count")]]

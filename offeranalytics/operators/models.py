@@ -9,7 +9,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import ordered
-from ..functions.scalars import safe_ratio
+from ..functions.scalars import column_stats, safe_ratio
 from ..functions.scale import durable
 from .features import stratified_folds, stratified_numbers
 
@@ -180,8 +180,8 @@ def importances(model: PipelineModel, columns: list[str], spark) -> DataFrame:
 
 def linear_attribution(df: DataFrame, coefficients: dict[str, float], keep=()) -> DataFrame:
     """Exact contribution of each feature to a linear score, relative to the average row."""
-    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in coefficients])).toDF("m").scalar()
-    return df.select(*keep, *[((F.col(c) - means[c]) * F.lit(float(w))).alias(c) for c, w in coefficients.items()])
+    fitted = column_stats(df, list(coefficients), mean=F.avg)
+    return df.select(*keep, *[((F.col(c) - fitted[c]["mean"]) * float(w)).alias(c) for c, w in coefficients.items()])
 
 
 def attribution_ranking(attributions: DataFrame, columns: list[str], top: int = 15) -> DataFrame:
@@ -210,7 +210,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, columns: list[st
     Rows are numbered by a hash of their key; a permuted feature comes from the row half the table away.
     """
     features = features or columns
-    numbered = durable(ordered.row_numbers(df.withColumn("_one", F.lit(1)), "_one", key, "_p").drop("_one"))
+    numbered = durable(stratified_numbers(df.withColumn("_all", F.lit(1)), "_all", key).drop("_all", "class_rows").withColumnRenamed("class_position", "_p"))
     rows = numbered.count()
     donors = numbered.select(((F.col("_p") + rows // 2) % rows + 1).alias("_p"), *[F.col(c).alias(f"_new_{c}") for c in features])
     paired = durable(numbered.join(donors, "_p"))

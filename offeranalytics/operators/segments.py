@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import ordered
 from ..functions.constants import GENDERS, PROFILE_METRICS, SEGMENT_NAMES
+from ..functions.scalars import column_stats
 from ..functions.scale import durable
 
 
@@ -40,10 +41,11 @@ def _collected(summaries: DataFrame, label: str = "cluster") -> Column:
 
 def assign_nearest(points: DataFrame, centres: DataFrame, label: str = "cluster") -> DataFrame:
     """Nearest given centre of each point (ties: lowest cluster) and the squared distance to it."""
-    scored = F.transform(_collected(centres.select(label, "centroid"), label),
-                         lambda c: F.struct(squared_distance(F.col("features"), c["centroid"]).alias("d"), c["cluster"].alias("cluster")))
-    best = points.withColumn("_best", F.array_min(scored))
-    return best.withColumn(label, F.col("_best.cluster")).withColumn("squared_distance", F.col("_best.d")).drop("_best")
+    placed = points.withColumn("_centres", _collected(centres.select(label, "centroid"), label))
+    scored = F.transform("_centres", lambda c: F.struct(
+        squared_distance(F.col("features"), c["centroid"]).alias("d"), c["cluster"].alias("cluster")))
+    best = placed.withColumn("_best", F.array_min(scored))
+    return best.withColumn(label, F.col("_best.cluster")).withColumn("squared_distance", F.col("_best.d")).drop("_best", "_centres")
 
 
 def labelling_quality(points: DataFrame, label: str = "cluster") -> DataFrame:
@@ -65,13 +67,12 @@ def labelling_quality(points: DataFrame, label: str = "cluster") -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("d2").alias("w"), F.avg(F.sqrt("d2")).alias("scatter"), F.sum(silhouette).alias("s"))
     stats = durable(per_cluster.join(stored.select(label, "centroid"), label))
     size = stats.agg(F.sum("n")).toDF("n").scalar()
-    grand = stats.select(F.posexplode("centroid").alias("i", "x"), "n").groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
-    grand = grand.agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("g")).scalar()
-    centre = F.transform(grand, lambda g: g["x"])
-    everyone = _collected(stats.select(label, "scatter", "centroid"), label)
-    ratio = F.array_max(F.transform(F.filter(everyone, lambda o: o["cluster"] != F.col(label)), lambda o: (
+    axes = stats.select(F.posexplode("centroid").alias("i", "x"), "n").groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
+    centre = axes.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda g: g["x"]).alias("g")).scalar()
+    beside = stats.withColumn("_all", _collected(stats.select(label, "scatter", "centroid"), label)).withColumn("_centre", centre)
+    ratio = F.array_max(F.transform(F.filter("_all", lambda o: o["cluster"] != F.col(label)), lambda o: (
         F.col("scatter") + o["scatter"]) / F.sqrt(squared_distance(F.col("centroid"), o["centroid"]))))
-    rows = stats.select("n", "w", "s", (F.col("n") * squared_distance(F.col("centroid"), centre)).alias("between"), ratio.alias("r"))
+    rows = beside.select("n", "w", "s", (F.col("n") * squared_distance("centroid", "_centre")).alias("between"), ratio.alias("r"))
     total = rows.agg(F.count(F.lit(1)).alias("k"), F.sum("w").alias("wcss"), F.sum("between").alias("b"), F.avg("r").alias("davies_bouldin"), F.sum("s").alias("s"))
     k = F.col("k")
     return total.select(
@@ -118,10 +119,13 @@ def silhouette_euclidean(points: DataFrame, key: str, label: str = "cluster", bl
     return ab.agg(F.avg(value).alias("silhouette"), F.count(F.lit(1)).alias("n"))
 
 
-def fit_kmeans(points: DataFrame, k: int, seeds=tuple(range(10)), max_iter: int = 100) -> KMeansModel:
-    """Best of several starts. ``points`` should be stored: every start reads it."""
+def fit_kmeans(points: DataFrame, k: int, seeds=tuple(range(10)), max_iter: int = 300, tol: float = 0.01) -> KMeansModel:
+    """Best of several starts. ``points`` should be stored: every start reads it.
+
+    A start ends when no centre moves by more than ``tol``, one hundredth of a standard deviation on scaled data.
+    """
     vectors = points.select(array_to_vector("features").alias("v"))
-    fits = [KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="v").fit(vectors) for s in seeds]
+    fits = [KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="v").fit(vectors) for s in seeds]
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -267,7 +271,9 @@ def best_clusters(metrics: DataFrame, label: str = "cluster") -> DataFrame:
 def name_segments(profiles: DataFrame, label: str = "cluster") -> DataFrame:
     """Segment type and name from rules against the medians across clusters; a type used before becomes moderate."""
     m = lambda c: F.col(f"{c}_mean")
-    middle = profiles.agg(F.struct(*[F.median(f"{c}_mean").alias(c) for c in ("trans_total", "completion_rate", "income_imputed", "tenure_months")])).toDF("m").scalar()
+    profiles = durable(profiles)  # one row per segment
+    ruled = ("trans_total", "completion_rate", "income_imputed", "tenure_months")
+    middle = profiles.agg(*[F.median(f"{c}_mean").alias(c) for c in ruled]).first()
     low_spend = m("trans_total") <= middle["trans_total"]
     kind = (F.when((m("trans_total") > middle["trans_total"]) & (m("completion_rate") > middle["completion_rate"]), "high_value_loyalist")
             .when((m("completion_rate") < 0.30) | (m("view_rate") < 0.40), "low_engagement")
@@ -287,8 +293,8 @@ def principal_components(df: DataFrame, columns: list[str], keep: list[str], k:
 
     Each component's sign makes its largest loading positive.
     """
-    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).toDF("m").scalar()
-    centred = df.select(*keep, *[(F.col(c) - means[c]).alias(c) for c in columns])
+    fitted = column_stats(df, columns, mean=F.avg)
+    centred = df.select(*keep, *[(F.col(c) - fitted[c]["mean"]).alias(c) for c in columns])
     vectors = durable(VectorAssembler(inputCols=columns, outputCol="v").transform(centred).select(*keep, "v"))
     model = PCA(k=k, inputCol="v", outputCol="p").fit(vectors)
     loadings = model.pc.toArray()

@@ -14,7 +14,7 @@ def rule_table(spark: SparkSession, rules: dict[int, tuple[str, str | None]]) ->
 def rules_from_effects(effects: DataFrame) -> DataFrame:
     """Rules derived from the data: the offer type with the largest and the second largest effect per segment."""
     ranked = effects.filter(F.col("ate").isNotNull()).groupBy("cluster").agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("ate")).alias("a"), "offer_type"))).alias("r"))  # at most one entry per offer type
+        F.array_sort(F.collect_list(F.struct((-F.round("ate", 6)).alias("a"), "offer_type"))).alias("r"))  # at most one entry per offer type
     return ranked.select("cluster", F.try_element_at("r", F.lit(1))["offer_type"].alias("primary_offer"),
                          F.try_element_at("r", F.lit(2))["offer_type"].alias("secondary_offer"))
 

@@ -13,8 +13,7 @@ BY_TYPE = """
 SELECT offer_type, count(DISTINCT person) FILTER (event = 'offer received') nr, count(DISTINCT person) FILTER (event = 'offer completed') nc,
        CASE WHEN nr > 0 THEN nc / nr ELSE 0 END completion_rate FROM oe WHERE offer_type IS NOT NULL GROUP BY offer_type"""
 LIFT = f"""
-SELECT b.r random_completion_rate, x.s / (SELECT count(*) FROM profile) rule_based_completion_rate, (rule_based_completion_rate / random_completion_rate - 1) * 100 lift_percent
-FROM (SELECT avg(completion_rate) r FROM ({BY_TYPE})) b CROSS JOIN (SELECT sum(n * CASE primary_offer WHEN 'bogo' THEN bo WHEN 'discount' THEN di ELSE coalesce(completion_rate, 0) END) s FROM (
+SELECT b.r random_completion_rate, x.s / z.n rule_based_completion_rate, (x.s / z.n / b.r - 1) * 100 lift_percent FROM (SELECT count(*) n FROM profile) z CROSS JOIN (SELECT avg(completion_rate) r FROM ({BY_TYPE})) b CROSS JOIN (SELECT sum(n * CASE primary_offer WHEN 'bogo' THEN bo WHEN 'discount' THEN di ELSE coalesce(completion_rate, 0) END) s FROM (
 SELECT cluster, count(*) n, avg(bogo_completion_rate) bo, avg(discount_completion_rate) di FROM beh JOIN clusters USING (id) GROUP BY cluster) JOIN rules USING (cluster)
 LEFT JOIN ({BY_TYPE}) t ON primary_offer = t.offer_type) x"""
 NAIVE = f"""
@@ -68,7 +67,7 @@ def recommendations(d: Inputs):
 
 @query("r05_rules_from_effects", f"""
 SELECT cluster, max(offer_type) FILTER (k = 1) primary_offer, max(offer_type) FILTER (k = 2) secondary_offer FROM (
-SELECT cluster, offer_type, row_number() OVER (PARTITION BY cluster ORDER BY ate DESC, offer_type) k FROM (
+SELECT cluster, offer_type, row_number() OVER (PARTITION BY cluster ORDER BY round(ate, 6) DESC, offer_type) k FROM (
 SELECT cluster, treatment offer_type, avg(a) FILTER (treated = 1) - avg(a) FILTER (treated = 0) ate FROM (SELECT k.cluster, treatment, person, max(treated) treated, avg(amount) a
 FROM ({PAID}) JOIN clusters k ON person = k.id WHERE treatment <> 'any_offer' GROUP BY ALL) GROUP BY ALL HAVING count(*) FILTER (treated = 1) >= 3 AND count(*) FILTER (treated = 0) >= 3)) GROUP BY cluster""")
 def derived_rules(d: Inputs):

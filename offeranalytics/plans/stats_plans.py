@@ -272,7 +272,7 @@ def segment_effects(d: Inputs):
 
 
 @query("w07_best_offer_per_segment", f"""
-SELECT cluster, min(offer_type) FILTER (ate = b) best_offer, max(b) best_ate FROM (SELECT *, max(ate) OVER (PARTITION BY cluster) b FROM ({SEGMENT})) GROUP BY cluster""", coarse="best_ate")
+SELECT cluster, min(offer_type) FILTER (round(ate, 6) = round(b, 6)) best_offer, max(b) best_ate FROM (SELECT *, max(ate) OVER (PARTITION BY cluster) b FROM ({SEGMENT})) GROUP BY cluster""", coarse="best_ate")
 def best_offers(d: Inputs):
     return c.best_offers(c.segment_effects(c.person_exposure(d.events, d.portfolio), d.clusters))
 
