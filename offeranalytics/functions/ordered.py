@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .scale import durable
+from .scale import durable, small_side
 
 ROWS_PER_RANGE = 200_000
 MAX_RANGES = 20_000
@@ -105,7 +105,7 @@ def quantiles_of_counts(counted: DataFrame, value: str, probabilities: dict[str,
     ranked = prefix_sums(counted, value, {"_before": n}, by, splits=splits)
     totals = counted.groupBy(*by).agg(F.sum(n).alias("_total"))
     if by:
-        ranked = ranked.join(totals, by)
+        ranked = ranked.join(small_side(totals), by)
     else:
         ranked = ranked.withColumn("_total", totals.scalar())
 

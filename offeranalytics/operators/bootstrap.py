@@ -16,9 +16,9 @@ def _hash32(text: Column) -> Column:
 
 
 def poisson_weight(text: Column) -> Column:
-    """Whole-number weight with mean 1, fixed by ``text``."""
-    prefix = F.substring(F.md5(text), 1, 8)  # equal-length hex text compares like the number
-    return sum(((prefix >= f"{step:08x}").cast("int") for step in POISSON_STEPS), F.lit(0))
+    """Whole-number weight with mean 1 from eight hex digits."""
+    # Equal-length hex text compares like the number it stands for.
+    return sum(((text >= f"{step:08x}").cast("int") for step in POISSON_STEPS), F.lit(0))
 
 
 def slice_sums(df: DataFrame, value: str, key: Column, arms: list[str], slices: int = SLICES) -> DataFrame:
@@ -31,7 +31,8 @@ def replicate_means(sums: DataFrame, arms: list[str], replicates: int) -> DataFr
     # A fixed number of partitions: the few slice rows grow by the number of replicates right after.
     parts = int(sums.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = sums.repartition(parts, *arms, "slice").withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    weighted = spread.withColumn("w", poisson_weight(F.concat_ws(":", *arms, "slice", "replicate")))
+    drawn = spread.withColumn("_hex", F.substring(F.md5(F.concat_ws(":", *arms, "slice", "replicate")), 1, 8))
+    weighted = drawn.withColumn("w", poisson_weight(F.col("_hex")))
     total = F.sum(F.col("w") * F.col("n"))
     return weighted.groupBy(*arms, "replicate").agg(
         (F.sum(F.col("w") * F.col("cents")) / F.when(total > 0, total) / 100).alias("m"))
@@ -51,10 +52,8 @@ def mean_interval(df: DataFrame, value: str, key: Column, arms: list[str], repli
     return observed.join(means, arms)
 
 
-def difference_interval(df: DataFrame, value: str, key: Column, treated: str, by: list[str], replicates: int = 1_000,
-                        level: float = 0.95, slices: int = SLICES) -> DataFrame:
-    """Interval of the difference of means, treated minus control, per ``by`` group."""
-    sums = slice_sums(df, value, key, [*by, treated], slices)
+def difference_interval(sums: DataFrame, treated: str, by: list[str], replicates: int = 1_000, level: float = 0.95) -> DataFrame:
+    """Interval of the difference of means, treated minus control, per ``by`` group of slice sums."""
     means = replicate_means(sums, [*by, treated], replicates).groupBy(*by, "replicate").agg(
         (F.max(F.when(F.col(treated) == 1, F.col("m"))) - F.max(F.when(F.col(treated) == 0, F.col("m")))).alias("d"))
     ends = means.groupBy(*by).agg(*_interval("d", level), F.avg("d").alias("bootstrap_mean"), F.stddev_pop("d").alias("bootstrap_std"))

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import ordered, special
 from ..functions.constants import AS_OF, OFFER_TYPES
 from ..functions.scalars import is_completed, is_received, is_transaction, money_mean, one_hot, safe_ratio, standardise, tenure_months
-from ..functions.scale import durable
-from .bootstrap import difference_interval
+from ..functions.scale import durable, small_side
+from .bootstrap import difference_interval, slice_sums
 from .funnel import offer_columns, with_offer
 from .stats import two_proportion_z, with_normal_p
 
@@ -65,16 +65,13 @@ def naive_effects(exposure: DataFrame) -> DataFrame:
     return stats.withColumn("ate", ate).withColumn("ate_percent", F.when(F.col("control_mean") > 0, F.col("ate") / F.col("control_mean") * 100).otherwise(0.0))
 
 
-def transaction_arms(events: DataFrame, exposure: DataFrame) -> DataFrame:
-    """Transactions with the arm of their person, once per treatment."""
-    paid = events.filter(is_transaction() & F.col("amount").isNotNull()).select("person", "time", "amount")
-    return exposure_arms(paid.join(exposure.select("person", *TREATMENTS), "person"), ["time", "amount"])
-
-
 def effect_intervals(events: DataFrame, exposure: DataFrame, replicates: int = 1_000, level: float = 0.95) -> DataFrame:
-    """Bootstrap interval of each naive effect."""
-    key = F.concat_ws(":", "person", "time")
-    return difference_interval(transaction_arms(events, exposure), "amount", key, "treated", ["treatment"], replicates, level)
+    """Bootstrap interval of each naive effect. Transactions are summed per person and slice before they meet the arms."""
+    paid = events.filter(is_transaction() & F.col("amount").isNotNull())
+    per_person = slice_sums(paid, "amount", F.concat_ws(":", "person", "time"), ["person"])
+    arms = exposure_arms(per_person.join(exposure.select("person", *TREATMENTS), "person"), ["slice", "cents", "n"])
+    sums = arms.groupBy("treatment", "treated", "slice").agg(F.sum("cents").alias("cents"), F.sum("n").alias("n"))
+    return difference_interval(sums, "treated", ["treatment"], replicates, level)
 
 
 def segment_effects(exposure: DataFrame, clusters: DataFrame, min_customers: int = 5, min_arm: int = 3) -> DataFrame:
@@ -143,7 +140,7 @@ def match_with_replacement(units: DataFrame, caliper: float = 0.2) -> DataFrame:
     below, above = F.col("score") - F.col("lower.score"), F.col("upper.score") - F.col("score")
     take_lower = F.col("upper").isNull() | (below <= above)
     chosen = near.select("score", F.when(take_lower, F.col("lower")).otherwise(F.col("upper")).alias("match"))
-    matched = units.filter("treated = 1").select(F.col("id").alias("treated_id"), "score").join(chosen, "score")
+    matched = units.filter("treated = 1").select(F.col("id").alias("treated_id"), "score").join(small_side(chosen), "score")
     distance = F.abs(F.col("score") - F.col("match.score"))
     return matched.filter(distance < caliper).select("treated_id", F.col("match.control_id").alias("control_id"), distance.alias("distance"))
 
@@ -203,7 +200,7 @@ def match_without_replacement(units: DataFrame, caliper: float = 0.2) -> DataFra
         left = left.join(spent, "score", "left").fillna(0, ["dt", "dc"]).select(
             "score", (F.col("t") - F.col("dt")).alias("t"), (F.col("c") - F.col("dc")).alias("c"),
             (F.col("t_used") + F.col("dt")).alias("t_used"), (F.col("c_used") + F.col("dc")).alias("c_used"))
-    every = ordered.union_all(flows)
+    every = small_side(durable(ordered.union_all(flows)))
 
     def side(flag: int, prefix: str) -> DataFrame:
         rows = numbered.filter(F.col("treated") == flag).select(F.col("id").alias(f"{prefix}_id"), F.col("score").alias(f"{prefix}_score"), "position")

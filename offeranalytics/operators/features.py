@@ -239,12 +239,36 @@ def with_view_flags(pairs: DataFrame, viewed: DataFrame, channels=CHANNELS) -> D
     return joined.withColumns({f"viewed_via_{c}": F.coalesce(F.col(f"viewed_via_{c}"), F.lit(0)) for c in channels})
 
 
+def offer_history(label_events: DataFrame, events: DataFrame) -> DataFrame:
+    """Per customer a map offer -> (completions, viewed); as many entries as offers, since offers are counted first."""
+    done = completion_counts(label_events)
+    seen = events.filter(is_viewed()).select(F.col("person").alias("customer_id"), "offer_id", F.lit(1).alias("viewed")).distinct()
+    entry = F.struct("offer_id", F.struct(F.coalesce("n_completions", F.lit(0)).alias("n"), F.coalesce("viewed", F.lit(0)).alias("viewed")))
+    return done.join(seen, ["customer_id", "offer_id"], "full_outer").groupBy(F.col("customer_id").alias("id")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_history"))
+
+
 def interaction_features(features: DataFrame, events: DataFrame, portfolio: DataFrame, dedupe: bool = False,
-                         label_events: DataFrame | None = None) -> DataFrame:
-    """The modelling table: pairs, labels and view flags. ``label_events`` may hold a later period than ``events``."""
-    pairs = customer_offer_pairs(features, offer_features(portfolio))
-    labelled = labelled_pairs(pairs, events if label_events is None else label_events, dedupe)
-    return with_view_flags(labelled, viewed_channels(events, portfolio))
+                         label_events: DataFrame | None = None, channels=CHANNELS) -> DataFrame:
+    """The modelling table: pairs, labels and view flags. ``label_events`` may hold a later period than ``events``.
+
+    Same rows as ``labelled_pairs`` and ``with_view_flags`` over ``customer_offer_pairs``, but history joins at customer
+    level before the pairs are formed, so the wide pair table is never shuffled.
+    """
+    labels = events if label_events is None else label_events
+    totals = channels_used(events, portfolio).withColumnRenamed("total_channels_used", "_total")
+    pairs = customer_offer_pairs(features.join(offer_history(labels, events), "id", "left").join(totals, "id", "left"), offer_features(portfolio))
+    past = F.try_element_at("_history", F.col("offer_id"))
+    viewed = F.coalesce(past["viewed"], F.lit(0))
+    flagged = pairs.withColumns({
+        "n_completions": F.coalesce(past["n"], F.lit(0)), **{f"viewed_via_{c}": viewed * F.col(f"channel_{c}") for c in channels},
+        "total_channels_used": F.when(viewed == 1, F.col("_total"))}).drop("_history", "_total")
+    labelled = flagged.withColumn("completed", (F.col("n_completions") > 0).cast("int"))
+    if dedupe:
+        return labelled.drop("n_completions")
+    hottest = completion_counts(labels).agg(F.max("n_completions")).first()[0] or 0
+    repeated = labelled.withColumn("n_completions", F.greatest("n_completions", F.lit(1)))
+    return scale.copies(repeated, "n_completions", ["customer_id", "offer_id"], most=hottest)
 
 
 def feature_summary(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
@@ -288,12 +312,12 @@ def stratified_numbers(df: DataFrame, label: str, key: str, seed: int = 42) -> D
         "_slice", F.substring("_hash", 1, 3))
     sizes = scale.durable(hashed.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n")))
     order = Window.partitionBy(label).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select(label, "_slice", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
-    totals = sizes.groupBy(label).agg(F.sum("_n").alias("class_rows"))
+    whole = Window.partitionBy(label)
+    before = sizes.select(label, "_slice", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("class_rows"))
     inside = Window.partitionBy(label, "_slice").orderBy("_hash")
     return (hashed.join(before, [label, "_slice"])
             .withColumn("class_position", (F.row_number().over(inside) + F.col("_before")).cast("long"))
-            .join(totals, label).drop("_hash", "_slice", "_before"))
+            .drop("_hash", "_slice", "_before"))
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:

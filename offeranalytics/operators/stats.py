@@ -72,10 +72,13 @@ def _rank_sum(group_n: str) -> Column:
     return F.sum(F.col(group_n).cast("decimal(19,0)") * twice).cast("double") / 2
 
 
-def mann_whitney(df: DataFrame, value: str, group: Column) -> DataFrame:
-    """U of the rows in ``group`` against the rest, two-sided p with tie and continuity correction."""
-    inside = F.coalesce(group, F.lit(False)).cast("int")
-    counted = ordered.value_counts(df, value, counts={"n": F.lit(1), "n1": inside})
+def mann_whitney(df: DataFrame, value: str, group: Column, weight: str | None = None) -> DataFrame:
+    """U of the rows in ``group`` against the rest, two-sided p with tie and continuity correction.
+
+    ``weight`` names a count for rows that stand for several equal ones.
+    """
+    one = F.col(weight) if weight else F.lit(1)
+    counted = ordered.value_counts(df, value, counts={"n": one, "n1": F.coalesce(group, F.lit(False)).cast("int") * one})
     ranked = ordered.prefix_sums(counted, value, {"before": "n"})
     sums = ranked.agg(_rank_sum("n1").alias("r1"), F.sum("n1").cast("double").alias("n1"), F.sum("n").cast("double").alias("n"), _ties("n").alias("ties"))
     n1, n2, n = F.col("n1"), F.col("n") - F.col("n1"), F.col("n")
@@ -88,9 +91,9 @@ def mann_whitney(df: DataFrame, value: str, group: Column) -> DataFrame:
 
 def responder_amount_test(events: DataFrame) -> DataFrame:
     """Do transaction amounts of responders and others differ?"""
-    paid = events.filter(is_transaction() & F.col("amount").isNotNull())
+    paid = events.filter(is_transaction() & F.col("amount").isNotNull()).groupBy("person", "amount").agg(F.count(F.lit(1)).alias("n_rows"))
     flagged = paid.join(responders(events).withColumn("responded", F.lit(True)), "person", "left")
-    return mann_whitney(flagged.select("amount", "responded"), "amount", F.col("responded"))
+    return mann_whitney(flagged, "amount", F.col("responded"), "n_rows")
 
 
 def contingency(df: DataFrame, rows: str, columns: str, values: list) -> DataFrame:
@@ -123,9 +126,10 @@ def completion_by_gender(profile: DataFrame, events: DataFrame) -> DataFrame:
     return people.join(done, "id", "left").fillna(0, ["completed_offer"])
 
 
-def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
-    """H over k groups with tie correction."""
-    counted = ordered.value_counts(df.filter(F.col(group).isNotNull()), value, [group])
+def kruskal_wallis(df: DataFrame, value: str, group: str, weight: str | None = None) -> DataFrame:
+    """H over k groups with tie correction; ``weight`` as in ``mann_whitney``."""
+    one = F.col(weight) if weight else F.lit(1)
+    counted = ordered.value_counts(df.filter(F.col(group).isNotNull()), value, [group], {"n": one})
     totals = counted.groupBy(value).agg(F.sum("n").alias("n"))
     ranked = ordered.prefix_sums(durable(totals), value, {"before": "n"})
     per_group = counted.withColumnRenamed("n", "n_group").join(ranked, value).groupBy(group).agg(
@@ -139,9 +143,9 @@ def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
 
 
 def income_of_completers(profile: DataFrame, events: DataFrame, portfolio: DataFrame) -> DataFrame:
-    """Income of the customer behind each completion, with the offer's type."""
-    done = with_offer(events.filter(is_event(COMPLETED)), portfolio, ["offer_type"])
-    return done.join(profile.select(F.col("id").alias("person"), "income"), "person").filter("income is not null").select("offer_type", "income")
+    """Income of the customer behind each completion, with the offer's type and the number of such completions."""
+    done = with_offer(events.filter(is_event(COMPLETED)), portfolio, ["offer_type"]).groupBy("person", "offer_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    return done.join(profile.select(F.col("id").alias("person"), "income"), "person").filter("income is not null").select("offer_type", "income", "n_rows")
 
 
 def welch(stats: DataFrame, by=()) -> DataFrame:

@@ -120,7 +120,7 @@ SELECT offer_type, sum(rk) r, count(*) m, max(n)::DOUBLE n, max(tt) t FROM (SELE
 {MIDRANK} (SELECT o.offer_type, p.income v FROM oe o JOIN profile p ON o.person = p.id WHERE o.event = 'offer completed' AND p.income IS NOT NULL AND o.offer_type IS NOT NULL)))
 GROUP BY offer_type) GROUP BY n)""", doubles="h_statistic", coarse="p_value")
 def kruskal(d: Inputs):
-    tested = st.kruskal_wallis(st.income_of_completers(d.profile, d.events, d.portfolio), "income", "offer_type")
+    tested = st.kruskal_wallis(st.income_of_completers(d.profile, d.events, d.portfolio), "income", "offer_type", "n_rows")
     return tested.withColumn("p_value", F.when(F.col("dof") == 2, F.col("p_value")).otherwise(F.exp(-F.col("h_statistic") / 2)))
 
 

@@ -96,6 +96,10 @@ def test_total_channels_stays_null_on_unviewed_pairs(people, offers, events):
     rows = {(r["customer_id"], r["offer_id"]): r for r in table.collect()}
     assert rows["a", "o1"]["viewed_via_mobile"] == 1 and rows["a", "o1"]["total_channels_used"] == 2
     assert rows["a", "o2"]["viewed_via_email"] == 0 and rows["a", "o2"]["total_channels_used"] is None
+    pairs = ft.customer_offer_pairs(people.select("id", "age"), ft.offer_features(offers))
+    joined = ft.with_view_flags(ft.labelled_pairs(pairs, events), ft.viewed_channels(events, offers))
+    assert sorted(joined.columns) == sorted(table.columns)
+    assert sorted(map(str, joined.select(sorted(table.columns)).collect())) == sorted(map(str, table.select(sorted(table.columns)).collect()))
     assert "age" in ft.numeric_features(table) and "completed" not in ft.numeric_features(table)
 
 
