@@ -6,6 +6,8 @@ per replicate. One pass over the data; the resampling cost is slices x replicate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.scale import durable
+
 # Cumulative Poisson(1) probabilities times 2^32
 POISSON_STEPS = [1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291, 4294609777, 4294923276, 4294962463]
 SLICES = 512
@@ -46,7 +48,7 @@ def _interval(value, level: float) -> list[Column]:
 def mean_interval(df: DataFrame, value: str, key: Column, arms: list[str], replicates: int = 10_000, level: float = 0.95,
                   slices: int = SLICES) -> DataFrame:
     """Mean and percentile interval per arm."""
-    sums = slice_sums(df, value, key, arms, slices)
+    sums = durable(slice_sums(df, value, key, arms, slices))  # slices x arms rows, read twice
     means = replicate_means(sums, arms, replicates).groupBy(*arms).agg(*_interval("m", level))
     observed = sums.groupBy(*arms).agg((F.sum("cents") / F.sum("n") / 100).alias("mean"), F.sum("n").alias("n"))
     return observed.join(means, arms)
