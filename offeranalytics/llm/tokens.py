@@ -170,9 +170,10 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
     base = 0x5851F42D4C957F2D
     n = 5 * CHUNK
+    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 2**64), np.uint64)
+    up[0] = down[0] = 1
     with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate(([1], np.full(n, base, np.uint64))).astype(np.uint64))
-        down = np.cumprod(np.concatenate(([1], np.full(n, pow(base, -1, 2**64), np.uint64))).astype(np.uint64))
+        up, down = np.cumprod(up), np.cumprod(down)
     return up, down
 
 
