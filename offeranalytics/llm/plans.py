@@ -19,6 +19,47 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import digest, phrase_matches
+
+    return digest(phrase_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+OP2_SQL = r"""
+WITH words_of AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+item_words AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, CAST(least(10, len(w)) AS INT) AS size, array_to_string(w[s + 1:s + least(10, len(w))], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS s FROM item_words WHERE len(w) > 0)),
+grams AS (
+  SELECT doc_id, s, size, array_to_string(w[s + 1:s + size], ' ') AS gram
+  FROM (SELECT doc_id, w, size, unnest(range(0, len(w) - size + 1)) AS s FROM words_of, (SELECT DISTINCT size FROM item_windows) WHERE len(w) >= size)),
+found AS (SELECT doc_id, item_id, s, size FROM grams JOIN item_windows USING (size, gram)),
+hits AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(s, s + size)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM words_of LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_groups
 
@@ -45,6 +86,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": Query(op1_quality, None),
+    "op2_decontaminate": Query(op2_decontaminate, OP2_SQL),
+    "op6_language": Query(op6_language, None),
     "op7_exact_dedup": Query(op7_exact_dedup, OP7_SQL),
     "op9_simhash": Query(op9_simhash, None),
     "op10_token_counts": Query(op10_token_counts, None),
