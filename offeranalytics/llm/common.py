@@ -57,3 +57,19 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: list[str], n: str, total:
     cold = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(facts.where(F.col(n) <= limit), key, how)
     return cold.unionByName(rows.join(F.broadcast(hot), key))
 
+
+
+def salted_join(rows: DataFrame, facts: DataFrame, key: list[str], n: str, total: int, how: str = "left") -> DataFrame:
+    """Join ``rows``, read once, with stored ``facts`` (one row per key; ``n`` rows share it), hot keys in shares."""
+    hot = hot_salts(facts, key, n, total)
+    copies = facts.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return salted(rows, hot, key).join(copies, [*key, "_salt"], how).drop("_salt")
+
+
+def literal_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A few driver-side rows as a table, without Python workers or RDDs."""
+    import json
+
+    text = F.lit(json.dumps(rows))
+    return spark.range(1).select(F.explode(F.from_json(text, f"array<struct<{schema}>>")).alias("r")).select("r.*")
