@@ -225,6 +225,20 @@ def predict_languages(docs: DataFrame, network: ByteNetwork, text_col: str = "te
     return docs.select(F.col(text_col).cast("string").alias("__text"), *passed).mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, network: ByteNetwork, least: float = 0.4, text_col: str = "text") -> DataFrame:
+    """``docs`` without rows that are ``und`` or whose language has a mean probability below ``least``; all columns kept."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, kept = batch.column(place), []
+            for at in range(0, batch.num_rows, 64):
+                kept += [lang != "und" and score >= least for lang, score in network.predict_many(texts.slice(at, 64).to_pylist())]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, parts: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per row of ``docs``: id, held_out, lang_pred, score. Rows of split ``held`` are never learned from."""
     network = train(docs.where(split_number(id_col, parts) != held), lang_col, text_col, id_col)
