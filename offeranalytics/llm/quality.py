@@ -81,7 +81,7 @@ def risk(weights: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prio
     return on_positive, on_negative, grad_positive, grad_negative
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
     """Weights that minimise the non-negative risk; while the negative part is below zero a step undoes it instead."""
     weights = np.zeros(positive.shape[1])
     adam = Adam(len(weights), rate)
@@ -115,7 +115,7 @@ class QualityModel:
     """Standardised linear score; without positives or unlabelled rows it answers 0.5 everywhere."""
 
     def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None):
-        self.fitted = len(positive) > 1 and len(unlabelled) > 1
+        self.fitted = len(positive) > 3 and len(unlabelled) > 3
         if not self.fitted:
             return
         both = np.concatenate((positive, unlabelled))
@@ -123,12 +123,16 @@ class QualityModel:
         ready_p, ready_u = self._ready(positive), self._ready(unlabelled)
         self.prior = estimated_prior(ready_p, ready_u) if prior is None else prior
         self.weights = fit(ready_p, ready_u, self.prior)
-        self.weights[-1] += self._shift(ready_p @ self.weights, ready_u @ self.weights)
+        self.weights[-1] += self._shift(ready_p, ready_u)
 
     def _shift(self, positive: np.ndarray, unlabelled: np.ndarray) -> float:
-        """Put ``THRESHOLD`` where the unlabelled split by the prior, but below all but 0.5 % of the positives."""
-        at = min(np.quantile(unlabelled, 1 - self.prior), np.quantile(positive, 0.005))
-        return float(np.log(THRESHOLD / (1 - THRESHOLD)) - at) + MARGIN
+        """Put ``THRESHOLD`` where rows the model has not seen split by the prior, but below all but 0.5 % of the
+        positives: each half of the rows is scored by a model of the other half."""
+        places = []
+        for half in (0, 1):
+            weights = fit(positive[1 - half::2], unlabelled[1 - half::2], self.prior)
+            places.append(min(np.quantile(unlabelled[half::2] @ weights, 1 - self.prior), np.quantile(positive[half::2] @ weights, 0.005)))
+        return float(np.log(THRESHOLD / (1 - THRESHOLD)) - np.mean(places)) + MARGIN
 
     def _ready(self, rows: np.ndarray) -> np.ndarray:
         scaled = np.clip((rows - self.mean) / self.scale, -4, 4) * (10 / np.sqrt(rows.shape[1]))
