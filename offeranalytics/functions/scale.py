@@ -1,8 +1,8 @@
 """Building blocks that keep jobs safe at any size: durable cuts, measured broadcasts, hot-key splitting."""
 
 import math
-import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 SMALL_ROWS = 100_000
@@ -10,12 +10,17 @@ HOT_ROWS = 10_000
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder; later reads neither recompute nor depend on one executor."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    """Keep ``df`` for its several later uses.
+
+    Where the cluster names a shared checkpoint folder the rows are written there once, which also survives lost
+    executors; elsewhere they are kept by Spark (memory, then disk) and recomputed if an executor is lost.
+    ``spark.catalog.clearCache()`` frees the latter.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint(eager=True) if spark.sparkContext.getCheckpointDir() else df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:

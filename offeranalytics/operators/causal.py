@@ -157,61 +157,31 @@ def _positions(units: DataFrame) -> DataFrame:
 
 
 def match_without_replacement(units: DataFrame, caliper: float = 0.2) -> DataFrame:
-    """One-to-one matching in rounds of mutually nearest scores; each control is used once.
+    """One-to-one matching by score in a fixed number of steps; each unit is used once.
 
-    The rounds work on one row per distinct score with the number of units left, so a score shared by very many
-    units is settled in one step. Equal scores match first. Ends when no pair within the caliper is left: every
-    round settles at least the closest remaining pair. Ties: lower score first, then md5 of the id.
+    Units of equal score match first, in md5 order of the id. Those left stand in score order like brackets: a treated
+    unit goes up one level, a control down one, and units that cross the same level one after the other are partners.
+    Pairs outside the caliper are dropped. This is the definition of the matching, in place of a row order.
     """
     numbered = _positions(units)
-    left = durable(units.groupBy("score").agg(F.count_if(F.col("treated") == 1).alias("t"), F.count_if(F.col("treated") == 0).alias("c")))
-    splits = ordered.range_splits(left, "score")
-    left = left.select("score", "t", "c", F.lit(0).cast("long").alias("t_used"), F.lit(0).cast("long").alias("c_used"))
-    flows = [left.filter("t > 0 and c > 0").select(
-        F.lit(0).alias("round"), F.col("score").alias("t_score"), F.col("score").alias("c_score"), "t_used", "c_used",
-        F.least("t", "c").alias("size"))]
-    both = F.least("t", "c")
-    left = left.select("score", (F.col("t") - both).alias("t"), (F.col("c") - both).alias("c"), both.alias("t_used"), both.alias("c_used"))
-    turn = 0
-    while True:
-        turn += 1
-        left = durable(left.filter("t > 0 or c > 0"))
-        state = F.struct("score", "t", "c", "t_used", "c_used")
-
-        def nearest(opposite: str, name: str, frame: DataFrame) -> DataFrame:
-            near = ordered.nearest_marked(frame, "score", F.col(opposite) > 0, state, splits)
-            below, above = F.col("score") - F.col("lower.score"), F.col("upper.score") - F.col("score")
-            pick = F.when(F.col("upper").isNull() | (below <= above), F.col("lower")).otherwise(F.col("upper"))
-            close = F.abs(F.col("score") - pick["score"]) < caliper
-            return near.withColumn(name, F.when(close, pick)).drop("lower", "upper")
-
-        near = nearest("t", "near_t", nearest("c", "near_c", left))
-        wanted = near.filter("t > 0 and near_c is not null").select(
-            F.col("score").alias("t_score"), F.col("near_c.score").alias("c_score"), "t", F.col("t_used"),
-            F.col("near_c.c").alias("c"), F.col("near_c.c_used").alias("c_used"))
-        agreed = near.filter("c > 0 and near_t is not null").select(F.col("near_t.score").alias("t_score"), F.col("score").alias("c_score"))
-        flow = durable(wanted.join(agreed, ["t_score", "c_score"]).select(
-            F.lit(turn).alias("round"), "t_score", "c_score", "t_used", "c_used", F.least("t", "c").alias("size")))
-        if flow.isEmpty():
-            break
-        flows.append(flow)
-        spent = (flow.select(F.col("t_score").alias("score"), F.col("size").alias("dt"), F.lit(0).cast("long").alias("dc"))
-                 .unionByName(flow.select(F.col("c_score").alias("score"), F.lit(0).cast("long").alias("dt"), F.col("size").alias("dc"))))
-        left = left.join(spent, "score", "left").fillna(0, ["dt", "dc"]).select(
-            "score", (F.col("t") - F.col("dt")).alias("t"), (F.col("c") - F.col("dc")).alias("c"),
-            (F.col("t_used") + F.col("dt")).alias("t_used"), (F.col("c_used") + F.col("dc")).alias("c_used"))
-    every = small_side(durable(ordered.union_all(flows)))
+    counts = durable(units.groupBy("score").agg(F.count_if(F.col("treated") == 1).alias("t"), F.count_if(F.col("treated") == 0).alias("c"))
+                     .select("score", F.least("t", "c").alias("both"), (F.col("t") - F.col("c")).alias("net")))
+    levels = ordered.prefix_sums(counts, "score", {"level": "net"})
+    placed = durable(numbered.join(small_side(levels), "score").withColumn("rest", F.col("position") - F.col("both") - 1))
+    step = F.when(F.col("treated") == 1, F.col("level") + F.col("rest")).otherwise(F.col("level") - F.col("rest") - 1)
+    crossings = durable(placed.filter("rest >= 0").select("id", "treated", "score", step.alias("step"), F.lit(1).alias("one")))
+    ranked = ordered.prefix_sums(crossings, "score", {"rank": "one"}, by=["step", "treated"])
+    equal = placed.filter("rest < 0").select("id", "treated", "score", F.lit(None).cast("long").alias("step"), F.col("position").alias("rank"))
+    every = equal.withColumn("at", F.col("score")).unionByName(ranked.select("id", "treated", "score", "step", "rank").withColumn("at", F.lit(None).cast("double")))
 
     def side(flag: int, prefix: str) -> DataFrame:
-        rows = numbered.filter(F.col("treated") == flag).select(F.col("id").alias(f"{prefix}_id"), F.col("score").alias(f"{prefix}_score"), "position")
-        start = F.col(f"{prefix}_used")
-        inside = (F.col("position") > start) & (F.col("position") <= start + F.col("size"))
-        return rows.join(every, f"{prefix}_score").filter(inside).withColumn("place", F.col("position") - start)
-
-    treated = side(1, "t").select("round", "t_score", "c_score", "place", "t_id")
-    control = side(0, "c").select("round", "t_score", "c_score", "place", "c_id")
-    return treated.join(control, ["round", "t_score", "c_score", "place"]).select(
-        F.col("t_id").alias("treated_id"), F.col("c_id").alias("control_id"), F.abs(F.col("t_score") - F.col("c_score")).alias("distance"))
+        return every.filter(F.col("treated") == flag).select(F.col("id").alias(f"{prefix}_id"), F.col("score").alias(f"{prefix}_score"), *[
+            F.col(c).alias(f"{prefix}_{c}") for c in ("at", "step", "rank")])
+
+    same = [F.col(f"t_{c}").eqNullSafe(F.col(f"c_{c}")) for c in ("at", "step", "rank")]
+    distance = F.abs(F.col("t_score") - F.col("c_score"))
+    return side(1, "t").join(side(0, "c"), same).filter(distance < caliper).select(
+        F.col("t_id").alias("treated_id"), F.col("c_id").alias("control_id"), distance.alias("distance"))
 
 
 def mean_spend(events: DataFrame) -> DataFrame:

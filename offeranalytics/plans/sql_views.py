@@ -9,27 +9,26 @@ SELECT CAST(c_custkey AS VARCHAR) id,
        CAST(strftime(DATE '2013-07-29' + CAST(c_custkey * 37 % 1824 AS INT), '%Y%m%d') AS INT) became_member_on
 FROM customer""",
     "portfolio": """
-SELECT CAST(p_partkey AS VARCHAR) id,
-       CASE WHEN p_partkey % 5 IN (0,1) THEN 'bogo' WHEN p_partkey % 5 IN (2,3) THEN 'discount' ELSE 'informational' END offer_type,
-       CASE WHEN p_partkey % 5 = 4 THEN 0 ELSE 5 + (p_size % 4) * 5 END difficulty,
-       CASE WHEN p_partkey % 5 = 4 THEN 0 WHEN p_partkey % 5 IN (0,1) THEN 5 + (p_size % 4) * 5 ELSE 2 + p_size % 4 END reward,
-       CAST(3 + p_size % 8 AS DOUBLE) duration,
-       list_filter(['email', CASE WHEN p_partkey % 5 <> 3 THEN 'mobile' END, CASE WHEN p_partkey % 2 = 0 THEN 'social' END,
-                    CASE WHEN p_partkey % 3 <> 0 THEN 'web' END], lambda x: x IS NOT NULL) channels
-FROM part WHERE p_partkey < 12""",
+SELECT CAST(i AS VARCHAR) id,
+       CASE WHEN i % 5 IN (0,1) THEN 'bogo' WHEN i % 5 IN (2,3) THEN 'discount' ELSE 'informational' END offer_type,
+       CAST(CASE WHEN i % 5 = 4 THEN 0 ELSE 5 + (s % 4) * 5 END AS INT) difficulty,
+       CAST(CASE WHEN i % 5 = 4 THEN 0 WHEN i % 5 IN (0,1) THEN 5 + (s % 4) * 5 ELSE 2 + s % 4 END AS INT) reward,
+       CAST(3 + s % 8 AS DOUBLE) duration,
+       list_filter(['email', CASE WHEN i % 5 <> 3 THEN 'mobile' END, CASE WHEN i % 2 = 0 THEN 'social' END,
+                    CASE WHEN n % 3 <> 0 THEN 'web' END], lambda x: x IS NOT NULL) channels
+FROM (SELECT CAST(substring(p_brand, 7) AS INT) - 1 i, sum(p_size) s, count(*) n FROM part GROUP BY p_brand)""",
     "transcript": """
 SELECT CAST(user_id AS VARCHAR) person,
-       CASE event_type WHEN 'signup' THEN 'offer received' WHEN 'view' THEN 'offer viewed' WHEN 'click' THEN 'offer completed' ELSE event_type END event,
+       CASE event_type WHEN 'signup' THEN 'offer received' WHEN 'view' THEN 'offer viewed' WHEN 'click' THEN 'offer completed' WHEN 'purchase' THEN 'transaction' ELSE event_type END event,
        CAST(datesub('hour', TIMESTAMP '2024-01-01', ts) AS INT) time,
-       CASE WHEN event_type IN ('signup','view') THEN CAST(k % 10 AS VARCHAR) END value_offer_id_space,
-       CASE WHEN event_type = 'click' THEN CAST(k % 10 AS VARCHAR) END value_offer_id,
-       CAST(NULL AS DOUBLE) value_amount
+       CASE WHEN event_type IN ('signup','view') THEN CAST(k % 25 AS VARCHAR) END value_offer_id_space,
+       CASE WHEN event_type = 'click' THEN CAST(k % 25 AS VARCHAR) END value_offer_id,
+       CASE WHEN event_type = 'purchase' THEN value END value_amount
 FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) k FROM events) e
-WHERE (event_type IN ('signup','view') AND k < 50) OR (event_type = 'click' AND k < 50 AND k % 5 <> 4) OR event_type = 'error'
 UNION ALL
 SELECT CAST(o_custkey AS VARCHAR), 'transaction',
        CAST((date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 30) * 24 + o_orderkey % 24 AS INT), NULL, NULL, o_totalprice
-FROM orders WHERE o_custkey % 20 <> 0""",
+FROM orders""",
     "ev": """
 SELECT person, event, time, coalesce(nullif(value_offer_id_space, ''), nullif(value_offer_id, '')) offer_id, value_amount amount
 FROM transcript""",

@@ -102,26 +102,26 @@ def chi_squared(d: Inputs):
     return st.chi_squared(st.completion_by_gender(d.profile, d.events), "gender", "completed_offer")
 
 
-@query("h06_chi_squared_two_by_two", """
+@query("h06_chi_squared_two_by_two", f"""
+SELECT *, {normal_p('sqrt(chi2_statistic)')} p_value FROM (
 SELECT n * pow(greatest(0, abs(a * e - b * c) - n / 2), 2) / ((a + b) * (c + e) * (a + c) * (b + e)) chi2_statistic, CAST(1 AS INT) dof,
        sqrt(chi2_statistic / n) cramers_v FROM (
 SELECT count(*) FILTER (l_linestatus = 'O' AND l_quantity > 25)::DOUBLE a, count(*) FILTER (l_linestatus = 'O' AND l_quantity <= 25)::DOUBLE b,
-       count(*) FILTER (l_linestatus <> 'O' AND l_quantity > 25)::DOUBLE c, count(*) FILTER (l_linestatus <> 'O' AND l_quantity <= 25)::DOUBLE e, count(*)::DOUBLE n FROM lineitem)""",
-       doubles="chi2_statistic cramers_v")
+       count(*) FILTER (l_linestatus <> 'O' AND l_quantity > 25)::DOUBLE c, count(*) FILTER (l_linestatus <> 'O' AND l_quantity <= 25)::DOUBLE e, count(*)::DOUBLE n FROM lineitem))""",
+       doubles="chi2_statistic cramers_v p_value")
 def chi_squared_yates(d: Inputs):
     lines = d.table("lineitem").select((F.col("l_linestatus") == "O").alias("a"), (F.col("l_quantity") > 25).alias("b"))
-    return st.chi_squared(lines, "a", "b").drop("p_value")
+    return st.chi_squared(lines, "a", "b")
 
 
 @query("h07_kruskal_wallis", f"""
-SELECT h h_statistic, CAST(k - 1 AS INT) dof, exp(-h / 2) p_value FROM (
+SELECT h h_statistic, CAST(k - 1 AS INT) dof, CASE k WHEN 2 THEN {normal_p('sqrt(h)')} WHEN 3 THEN exp(-h / 2) END p_value FROM (
 SELECT (12 / (n * (n + 1)) * sum(r * r / m) - 3 * (n + 1)) / (1 - max(t) / (n * n * n - n)) h, count(*) k FROM (
 SELECT offer_type, sum(rk) r, count(*) m, max(n)::DOUBLE n, max(tt) t FROM (SELECT *, sum(pow(ties, 2) - 1) OVER () tt FROM (
 {MIDRANK} (SELECT o.offer_type, p.income v FROM oe o JOIN profile p ON o.person = p.id WHERE o.event = 'offer completed' AND p.income IS NOT NULL AND o.offer_type IS NOT NULL)))
 GROUP BY offer_type) GROUP BY n)""", doubles="h_statistic", coarse="p_value")
 def kruskal(d: Inputs):
-    tested = st.kruskal_wallis(st.income_of_completers(d.profile, d.events, d.portfolio), "income", "offer_type", "n_rows")
-    return tested.withColumn("p_value", F.when(F.col("dof") == 2, F.col("p_value")).otherwise(F.exp(-F.col("h_statistic") / 2)))
+    return st.kruskal_wallis(st.income_of_completers(d.profile, d.events, d.portfolio), "income", "offer_type", "n_rows")
 
 
 ARMS = """
@@ -183,9 +183,9 @@ def pearson(d: Inputs):
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("h09_pearson_lines", _pairs("lineitem", LINE_COLUMNS), doubles="r")
+@query("h09_pearson_lines", _with_p(_pairs("lineitem", LINE_COLUMNS)), doubles="r p_value")
 def pearson_lines(d: Inputs):
-    return st.pearson(d.table("lineitem").select(*LINE_COLUMNS), LINE_COLUMNS).drop("p_value")
+    return st.pearson(d.table("lineitem").select(*LINE_COLUMNS), LINE_COLUMNS)
 
 
 def _rank(column: str) -> str:
@@ -197,9 +197,9 @@ def spearman(d: Inputs):
     return st.spearman(f.offer_funnel(d.events, d.portfolio), OFFER_COLUMNS)
 
 
-@query("h10_spearman_lines", _pairs(f"(SELECT {', '.join(map(_rank, LINE_COLUMNS))} FROM lineitem)", LINE_COLUMNS), doubles="r")
+@query("h10_spearman_lines", _with_p(_pairs(f"(SELECT {', '.join(map(_rank, LINE_COLUMNS))} FROM lineitem)", LINE_COLUMNS)), doubles="r p_value")
 def spearman_lines(d: Inputs):
-    return st.spearman(d.table("lineitem").select(*LINE_COLUMNS), LINE_COLUMNS).drop("p_value")
+    return st.spearman(d.table("lineitem").select(*LINE_COLUMNS), LINE_COLUMNS)
 
 
 @query("w03_average_ranks", """
@@ -357,11 +357,35 @@ def propensity(d: Inputs):
     return c.propensity_scores(c.matching_population(exposure, c.propensity_covariates(d.profile), "bogo")).select("id", "treated", "score")
 
 
-@query("c06_match_without_replacement")
+PAIRS_ONCE = f"""
+SELECT treated_id, control_id, distance FROM (
+WITH u AS (SELECT id, treated, score, row_number() OVER (PARTITION BY score, treated ORDER BY md5(id)) p FROM ({POPULATION})),
+n AS (SELECT score, least(count(*) FILTER (treated = 1), count(*) FILTER (treated = 0)) b, count(*) FILTER (treated = 1) - count(*) FILTER (treated = 0) net FROM u GROUP BY score),
+l AS (SELECT score, b, coalesce(sum(net) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) level FROM n),
+x AS (SELECT id, treated, score, p, CASE WHEN p > b THEN CASE treated WHEN 1 THEN level + p - b - 1 ELSE level - p + b END END step FROM u JOIN l USING (score)),
+r AS (SELECT *, CASE WHEN step IS NULL THEN score END tie, CASE WHEN step IS NULL THEN p ELSE row_number() OVER (PARTITION BY step, treated ORDER BY score) END k FROM x)
+SELECT t.id treated_id, c.id control_id, abs(t.score - c.score) distance FROM r t JOIN r c
+ON t.k = c.k AND t.step IS NOT DISTINCT FROM c.step AND t.tie IS NOT DISTINCT FROM c.tie WHERE t.treated = 1 AND c.treated = 0) WHERE distance < 0.2"""
+
+
+@query("c06_match_without_replacement", PAIRS_ONCE, doubles="distance")
 def matched_once(d: Inputs):
+    return c.match_without_replacement(_population(d))
+
+
+@query("c06_propensity_pairs")
+def propensity_pairs(d: Inputs):
     return c.propensity_matching(d.profile, d.events, d.portfolio, "bogo")["pairs"]
 
 
+@query("c07_matched_effect_once", f"""
+SELECT count(*) n_pairs, CASE WHEN count(*) >= 10 THEN avg(coalesce(a.m, 0)) - avg(coalesce(z.m, 0)) END ate_matched FROM ({PAIRS_ONCE}) p
+LEFT JOIN (SELECT person, avg(amount) m FROM ev WHERE event = 'transaction' GROUP BY person) a ON p.treated_id = a.person
+LEFT JOIN (SELECT person, avg(amount) m FROM ev WHERE event = 'transaction' GROUP BY person) z ON p.control_id = z.person""", coarse="ate_matched")
+def matched_effect_once(d: Inputs):
+    return c.matched_effect(c.match_without_replacement(_population(d)), c.mean_spend(d.events))
+
+
 @query("c07_propensity_effect_and_balance")
 def propensity_balance(d: Inputs):
     result = c.propensity_matching(d.profile, d.events, d.portfolio, "discount")

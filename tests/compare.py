@@ -46,6 +46,7 @@ def compare(spark, con, name, run, sql, sf_dir):
     df = run(spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
     took = time.time() - start
+    spark.catalog.clearCache()
     if sql is None:
         return took, len(rows), ""
     start = time.time()

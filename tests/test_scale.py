@@ -109,35 +109,49 @@ def test_matching_with_replacement(spark, many_ranges):
             assert (i in got) == (d < 0.05) and (i not in got or (got[i]["control_id"], got[i]["distance"]) == (ci, pytest.approx(d)))
 
 
+def brackets(data, caliper):
+    """Pairs of equal score first; the others in score order, each closing the open unit of the other arm at its level."""
+    import hashlib
+    at = {}
+    for i, t, s in data:
+        at.setdefault(s, ([], []))[t].append(i)
+    pairs, rest = [], []
+    for s, arms in sorted(at.items()):
+        c, t = (sorted(a, key=lambda i: hashlib.md5(i.encode()).hexdigest()) for a in arms)
+        both = min(len(c), len(t))
+        pairs += [(x, y, 0.0) for x, y in zip(t, c)]
+        rest += [(s, i, 1) for i in t[both:]] + [(s, i, 0) for i in c[both:]]
+    level, crossed = 0, {}
+    for s, i, t in rest:
+        step = level if t else level - 1
+        level += 1 if t else -1
+        crossed.setdefault(step, []).append((s, i, t))
+    for units in crossed.values():
+        for (s, i, t), (z, j, u) in zip(units[::2], units[1::2]):
+            assert t != u
+            if abs(s - z) < caliper:
+                pairs.append((i, j, abs(s - z)) if t else (j, i, abs(s - z)))
+    return sorted((a, b, round(d, 9)) for a, b, d in pairs)
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_matching_without_replacement(spark, many_ranges, seed):
     data = units(seed=seed)
     pairs = causal.match_without_replacement(spark.createDataFrame(data, "id string, treated int, score double"), 0.1).collect()
-    score = {i: s for i, _, s in data}
-    treated, control = {i for i, t, _ in data if t}, {i for i, t, _ in data if not t}
-    assert len({p["treated_id"] for p in pairs}) == len({p["control_id"] for p in pairs}) == len(pairs)
-    assert all(p["treated_id"] in treated and p["control_id"] in control and abs(score[p["treated_id"]] - score[p["control_id"]]) < 0.1 for p in pairs)
-    free_t, free_c = treated - {p["treated_id"] for p in pairs}, control - {p["control_id"] for p in pairs}
-    assert not any(abs(score[a] - score[b]) < 0.1 for a in free_t for b in free_c)
-    # repeatedly taking the closest pair gives the same multiset of distances when no two gaps tie
-    at = {}
-    for i, t, s in data:
-        at.setdefault(s, [0, 0])[t] += 1
-    exact = sum(min(c, t) for c, t in at.values())
-    assert sum(p["distance"] == 0 for p in pairs) == exact
-
-
-def test_every_match_is_stable(spark):
-    """No free pair may be closer to each other than both are to their partners."""
-    data = units(60, 9, 4)
-    pairs = causal.match_without_replacement(spark.createDataFrame(data, "id string, treated int, score double"), 1.0).collect()
-    score = {i: s for i, _, s in data}
-    dist = {**{p["treated_id"]: p["distance"] for p in pairs}, **{p["control_id"]: p["distance"] for p in pairs}}
-    for a, t, _ in data:
-        for b, u, _ in data:
-            if t and not u:
-                d = abs(score[a] - score[b])
-                assert not (d < dist.get(a, 9) - 1e-9 and d < dist.get(b, 9) - 1e-9)
+    assert sorted((p["treated_id"], p["control_id"], round(p["distance"], 9)) for p in pairs) == brackets(data, 0.1)
+
+
+@pytest.mark.parametrize("arms", ["separated", "alternating", "tied"])
+def test_matching_ten_thousand_units_takes_few_jobs(spark, arms):
+    """Separated, alternating and tied arms all end in the same bounded number of jobs."""
+    import time
+    n = 10_000
+    at = {"separated": lambda i: 0.3 * i / n + (0.31 if i % 2 else 0.0), "alternating": lambda i: i / n, "tied": lambda i: round(i % 7 / 10, 1)}[arms]
+    data = [(f"u{i}", i % 2, at(i)) for i in range(n)]
+    started = time.time()
+    pairs = causal.match_without_replacement(spark.createDataFrame(data, "id string, treated int, score double"), 0.7).collect()
+    assert time.time() - started < 120
+    assert sorted((p["treated_id"], p["control_id"], round(p["distance"], 9)) for p in pairs) == brackets(data, 0.7)
 
 
 def test_silhouettes_match_brute_force(spark):
