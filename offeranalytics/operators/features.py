@@ -321,10 +321,28 @@ def stratified_numbers(df: DataFrame, label: str, key: str, seed: int = 42) -> D
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``is_test``: an exact share of each class."""
-    numbered = stratified_numbers(df, label, key, seed)
-    test_rows = F.round(F.col("class_rows") * F.lit(test_share))
-    return numbered.withColumn("is_test", (F.col("class_position") <= test_rows).cast("int")).drop("class_position", "class_rows")
+    """Adds ``is_test``: an exact share of each class, the rows with the smallest seeded md5 of ``key``.
+
+    Only counts per slice of the md5 and the rows of one slice per class are ordered, to find the class's last test
+    row; every row then decides by its own hash, so the rows themselves are not shuffled.
+    """
+    hashed = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    keys = df.select(F.col(label).alias("_label"), hashed.alias("_hash")).withColumn("_slice", F.substring("_hash", 1, 3))
+    sizes = scale.durable(keys.groupBy("_label", "_slice").agg(F.count(F.lit(1)).alias("_n")))
+    order = Window.partitionBy("_label").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    quota = F.round(F.sum("_n").over(Window.partitionBy("_label")) * F.lit(test_share))
+    placed = sizes.select("_label", "_slice", "_n", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"), quota.alias("_quota"))
+    edge = placed.filter("_before < _quota and _before + _n >= _quota").select("_label", "_slice", (F.col("_quota") - F.col("_before")).alias("_take"))
+    inside = Window.partitionBy("_label", "_slice").orderBy("_hash")
+    near = keys.join(scale.small_side(edge), ["_label", "_slice"]).withColumn("_place", F.row_number().over(inside))
+    # rows that repeat the key of the last test row share its hash: only as many of them as the quota leaves
+    last = near.filter("_place = _take").select("_label", F.col("_hash").alias("_last"), "_take").join(
+        near.groupBy("_label", F.col("_hash").alias("_last")).agg(F.min("_place").alias("_first")), ["_label", "_last"])
+    joined = df.withColumn("_hash", hashed).join(scale.small_side(scale.durable(last)), F.col(label) == F.col("_label"), "left")
+    clear = joined.filter("_last is null or _hash <> _last").withColumn("is_test", F.coalesce((F.col("_hash") < F.col("_last")).cast("int"), F.lit(0)))
+    turn = F.row_number().over(Window.partitionBy("_label").orderBy(key))
+    tied = joined.filter("_hash = _last").withColumn("is_test", (turn <= F.col("_take") - F.col("_first") + 1).cast("int"))
+    return clear.unionByName(tied).drop("_label", "_last", "_take", "_first", "_hash")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:

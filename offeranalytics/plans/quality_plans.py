@@ -1,10 +1,13 @@
 """Scans and data quality over the test tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.constants import AGE_SENTINEL, EVENTS, OFFER_TYPES
 from ..operators import quality as q
-from ..sources.writers import export_manifest
+from ..sources.readers import read_json, read_json_lines, read_table
+from ..sources.writers import export_manifest, write_table
 from .registry import Inputs, query
 
 
@@ -16,6 +19,47 @@ def manifest(d: Inputs):
     return export_manifest({"portfolio": d.portfolio, "profile": d.profile, "events": d.events})
 
 
+def _stored(d: Inputs, name: str, write):
+    """Count and sums of what ``write`` (given a path in the shared warehouse folder) reads back; the files go again."""
+    spark = d.spark
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/round_trip_{name}_{uuid.uuid4().hex}"
+    back = write(path)
+    result = spark.createDataFrame(back.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("person").alias("n_persons"), F.count_distinct("person").alias("n_distinct"),
+        F.sum(F.col("time").cast("long")).alias("sum_time"), F.count("value_amount").alias("n_amounts"),
+        F.sum(F.col("value_amount").cast("decimal(18,2)")).cast("double").alias("sum_amount")).collect(),
+        "n_rows long, n_persons long, n_distinct long, sum_time long, n_amounts long, sum_amount double")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return result
+
+
+STORED = """
+SELECT count(*) n_rows, count(person) n_persons, count(DISTINCT person) n_distinct, CAST(sum(time) AS BIGINT) sum_time, count(value_amount) n_amounts,
+       CAST(sum(CAST(value_amount AS DECIMAL(18,2))) AS DOUBLE) sum_amount FROM transcript"""
+FLAT = "person string, event string, time int, value_offer_id_space string, value_offer_id string, value_amount double"
+
+
+@query("s05_parquet_round_trip", STORED, coarse="sum_amount")
+def parquet_round_trip(d: Inputs):
+    return _stored(d, "parquet", lambda path: read_table(d.spark, write_table(d.transcript, path)))
+
+
+@query("s06_csv_round_trip", STORED, coarse="sum_amount")
+def csv_round_trip(d: Inputs):
+    return _stored(d, "csv", lambda path: read_table(d.spark, write_table(d.transcript, path, "csv"), FLAT))
+
+
+@query("s02_json_lines_round_trip", STORED, coarse="sum_amount")
+def json_lines_round_trip(d: Inputs):
+    return _stored(d, "json", lambda path: read_json_lines(d.spark, write_table(d.transcript, path, "json"), FLAT))
+
+
+@query("s01_json_with_rejects", STORED, coarse="sum_amount")
+def json_with_rejects(d: Inputs):
+    return _stored(d, "lines", lambda path: read_json(d.spark, write_table(d.transcript, path, "json"), FLAT)[0])
+
+
 @query("q02_shape_and_types", """
 SELECT 'profile' dataset, (SELECT count(*) FROM profile) n_rows, 5 n_columns, * FROM (VALUES
  ('id', 'string'), ('age', 'int'), ('gender', 'string'), ('income', 'double'), ('became_member_on', 'int')) t(column_name, data_type)""")

@@ -358,8 +358,21 @@ def box_plot(d: Inputs):
     return charts.box_plot(d.table("lineitem"), "l_extendedprice", ["l_returnflag"])
 
 
-@query("s09_export_row_counts", f"""
-SELECT 'fact_offer_interactions' dataset, count(*) n_rows, 7 n_columns FROM ({FACTS}) UNION ALL SELECT 'transactions', count(*), 6 FROM ({TRANSACTIONS}) UNION ALL SELECT 'dim_offers', count(*), 13 FROM portfolio""")
+def _exports(d: Inputs):
+    profiles = sg.cluster_profiles(durable(_segment_features(d).join(d.clusters, "id")), list(LONG))
+    return star.export_tables(d.portfolio, d.events, d.features, d.clusters, d.rules, profiles, _effects(d), _lift(d), _by_type(d))
+
+
+EXPORTS = {
+    "fact_offer_interactions": (f"({FACTS})", 7), "dim_customers": ("profile", 15), "dim_offers": ("portfolio", 13), "dim_date": ("range(0, 61)", 15),
+    "fact_segment_performance": (f"({SEGMENT_PERFORMANCE})", 12), "customers": ("profile", 20), "offers": ("(SELECT unnest(channels) FROM portfolio)", 9), "transactions": (f"({TRANSACTIONS})", 6),
+    "offer_events": ("(SELECT * FROM ev WHERE event <> 'transaction' AND offer_id IS NOT NULL)", 6),
+    "cluster_profiles": ("(SELECT DISTINCT cluster, m FROM clusters, range(0, 5) t(m))", 4), "ate_results": (f"({NAIVE})", 5), "recommendation_results": ("range(0, 2)", 3),
+    "fact_kpi_metrics": (f"({KPIS})", 4)}
+
+
+@query("s09_export_row_counts", " UNION ALL ".join(
+    f"SELECT '{name}' dataset, count(*) n_rows, CAST({columns} AS INT) n_columns FROM {rows}" for name, (rows, columns) in EXPORTS.items()))
 def export_counts(d: Inputs):
     from ..sources.writers import export_manifest
-    return export_manifest({"fact_offer_interactions": star.fact_offer_interactions(d.events), "transactions": star.transactions_table(d.events), "dim_offers": star.dim_offers(d.portfolio)})
+    return export_manifest(_exports(d))

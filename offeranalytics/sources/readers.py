@@ -20,7 +20,9 @@ class Datasets(NamedTuple):
 def read_json(spark: SparkSession, path: str, schema: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows of a JSON array or a JSON-lines file, and the lines that do not parse.
 
-    The first non-blank line decides the layout. A missing path raises ``FileNotFoundError``.
+    The first non-blank line decides the layout. An array that does not parse as a whole is read line by line, without
+    its brackets and the commas between objects, and its bad lines are reported. Spark reads an array file in one task;
+    large inputs should be lines. A missing path raises ``FileNotFoundError``.
     """
     try:
         lines = spark.read.text(path)
@@ -34,8 +36,10 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None) -> tupl
         sample = spark.read.option("multiLine", is_array).option("mode", "DROPMALFORMED").json(path)
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sample.schema if f.name != "_corrupt_record")
     if is_array:
-        good = spark.read.schema(schema).option("multiLine", True).json(path)
-        return good, lines.filter(F.lit(False)).withColumnRenamed("value", "line")
+        whole = spark.read.schema(f"{schema}, _bad string").option("multiLine", True).option("columnNameOfCorruptRecord", "_bad").json(path).persist()  # the parsed rows decide
+        if whole.filter("_bad is not null").isEmpty():
+            return whole.drop("_bad"), lines.filter(F.lit(False)).withColumnRenamed("value", "line")
+        lines = lines.select(F.regexp_replace(F.trim("value"), r"^\[\s*|\s*,$|\s*\]$", "").alias("value"))
     # Keep the raw line beside the parsed row: the rejects then need no cached parse.
     parsed = lines.filter(F.trim("value") != "").select(
         "value", F.from_json("value", f"{schema}, _bad string",

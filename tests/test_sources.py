@@ -62,6 +62,13 @@ def test_tables_round_trip(spark, tmp_path):
     assert set(writers.save_segments(df, df, str(tmp_path))) == {"customer_clusters", "cluster_profiles"}
 
 
+def test_broken_array_is_read_by_lines_with_rejects(spark, tmp_path):
+    text = '[\n{"id": "a", "age": 1},\n{"id": "b", "age": },\n  {"id": "c", "age": 3}\n]\n'
+    good, bad = readers.read_json(spark, write(tmp_path / "p.json", text), readers.PROFILE_SCHEMA)
+    assert sorted(r["id"] for r in good.collect()) == ["a", "c"]
+    assert [r["line"] for r in bad.collect()] == ['{"id": "b", "age": }']
+
+
 def test_report_and_manifest(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, 2.0), ("b", 3, None)], "name string, n int, v double")
     path = writers.write_report({"s": df}, str(tmp_path / "report"), {"s": "name"})
