@@ -1,6 +1,7 @@
 """Building blocks that keep jobs safe at any size: durable cuts, measured broadcasts, hot-key splitting."""
 
 import math
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -45,14 +46,13 @@ def every_pair_with(df: DataFrame, catalogue: DataFrame, name: str = "item", chu
     """Each row of ``df`` with each row of a catalogue, as a struct column ``name``.
 
     The catalogue travels as an array inside the plan, so the large side is never shuffled. A catalogue of more
-    than ``chunk_rows`` rows is sent as several arrays, each joined on its chunk number.
+    than ``chunk_rows`` rows is sent as several arrays, one pass over ``df`` for each.
     """
     item = F.struct(*[F.col(c) for c in sorted(catalogue.columns)])
     chunks = math.ceil(catalogue.count() / chunk_rows)
     if chunks <= 1:
         everything = catalogue.agg(F.array_sort(F.collect_list(item)).alias("items")).scalar()
         return df.withColumn(name, F.explode(everything))
-    arrays = (catalogue.groupBy(F.pmod(F.xxhash64(*sorted(catalogue.columns)), F.lit(chunks)).cast("int").alias("_chunk"))
-              .agg(F.collect_list(item).alias("_items")))
-    numbered = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    return numbered.join(arrays, "_chunk").withColumn(name, F.explode("_items")).drop("_chunk", "_items")
+    number = F.pmod(F.xxhash64(*sorted(catalogue.columns)), F.lit(chunks))
+    parts = [catalogue.filter(number == c).agg(F.array_sort(F.collect_list(item)).alias("items")).scalar() for c in range(chunks)]
+    return reduce(DataFrame.unionByName, [df.withColumn(name, F.explode(p)) for p in parts])

@@ -11,7 +11,7 @@ from ..functions.constants import AS_OF, OFFER_TYPES
 from ..functions.scalars import is_completed, is_received, is_transaction, money_mean, one_hot, safe_ratio, standardise, tenure_months
 from ..functions.scale import durable, small_side
 from .bootstrap import difference_interval, slice_sums
-from .funnel import offer_columns, with_offer
+from .funnel import attach_offer, with_offer
 from .stats import two_proportion_z, with_normal_p
 
 TREATMENTS = ["any_offer", *OFFER_TYPES]
@@ -23,7 +23,7 @@ def _cells(columns: dict[str, Column], name: str) -> Column:
 
 def person_exposure(events: DataFrame, portfolio: DataFrame) -> DataFrame:
     """One row per person in the transcript: exposure to any offer and to each type, and spend sums."""
-    typed = events.join(offer_columns(portfolio, ["offer_type"]), "offer_id", "left")
+    typed = attach_offer(events, portfolio, ["offer_type"])
     paid = F.when(is_transaction(), F.col("amount").cast("decimal(18,2)"))
     return typed.groupBy("person").agg(
         F.max(F.col("offer_id").isNotNull().cast("int")).alias("any_offer"),

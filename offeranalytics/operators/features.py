@@ -8,7 +8,7 @@ from ..functions.constants import (
 from ..functions.scalars import (
     clean_age, clv_proxy, cut, has_channel, is_completed, is_event, is_received, is_transaction, is_viewed, member_date,
     missing_flag, money_mean, money_sum, one_hot, safe_ratio, standardise, tenure_days, tenure_months)
-from .funnel import offer_columns, response_times
+from .funnel import attach_offer, offer_columns, response_times
 
 SHORT_TYPE = {"bogo": "bogo", "discount": "discount", "informational": "info"}
 TYPE_STAGES = {"bogo": ["received", "viewed", "completed"], "discount": ["received", "viewed", "completed"],
@@ -45,7 +45,7 @@ def customer_activity(events: DataFrame, portfolio: DataFrame, windows=(7, 14))
 
     Covers spend statistics, offer counts by stage and by type and stage, last activity and trailing spend.
     """
-    typed = events.join(offer_columns(portfolio, ["offer_type"]), "offer_id", "left")
+    typed = attach_offer(events, portfolio, ["offer_type"])
     typed = typed.withColumn("_end", data_limits(events)["end"])
     end = F.col("_end")
     paid = F.when(is_transaction(), F.col("amount"))
@@ -271,6 +271,46 @@ def interaction_features(features: DataFrame, events: DataFrame, portfolio: Data
     return scale.copies(repeated, "n_completions", ["customer_id", "offer_id"], most=hottest)
 
 
+def pair_history(customers: DataFrame, offers: DataFrame, events: DataFrame) -> DataFrame:
+    """Every customer with every offer and ``n_completions`` and ``viewed`` of the pair.
+
+    History joins per customer before the pairs are formed; the pair table itself is not shuffled.
+    """
+    pairs = customer_offer_pairs(customers.join(offer_history(events, events), "id", "left"), offers)
+    past = F.try_element_at("_history", F.col("offer_id"))
+    return pairs.withColumns({"n_completions": F.coalesce(past["n"], F.lit(0)), "viewed": F.coalesce(past["viewed"], F.lit(0))}).drop("_history")
+
+
+def all_labelled_pairs(customers: DataFrame, offers: DataFrame, events: DataFrame, dedupe: bool = False) -> DataFrame:
+    """``labelled_pairs`` of every customer with every offer, without shuffling the pairs."""
+    pairs = pair_history(customers, offers, events).withColumn("completed", (F.col("n_completions") > 0).cast("int")).drop("viewed")
+    if dedupe:
+        return pairs.drop("n_completions")
+    hottest = completion_counts(events).agg(F.max("n_completions")).first()[0] or 0
+    return scale.copies(pairs.withColumn("n_completions", F.greatest("n_completions", F.lit(1))), "n_completions", ["customer_id", "offer_id"], most=hottest)
+
+
+def all_view_flags(customers: DataFrame, portfolio: DataFrame, events: DataFrame, channels=CHANNELS) -> DataFrame:
+    """``with_view_flags`` of every customer with every offer, without shuffling the pairs."""
+    totals = channels_used(events, portfolio).withColumnRenamed("total_channels_used", "_total")
+    offers = portfolio.select("id", *[F.array_contains("channels", c).cast("int").alias(f"_{c}") for c in channels])
+    pairs = pair_history(customers.join(totals, "id", "left"), offers, events)
+    return pairs.withColumns({**{f"viewed_via_{c}": F.coalesce(F.col("viewed") * F.col(f"_{c}"), F.lit(0)) for c in channels},
+                              "total_channels_used": F.when(F.col("viewed") == 1, F.col("_total"))}).drop(
+        "n_completions", "viewed", "_total", *[f"_{c}" for c in channels])
+
+
+def pair_label_counts(customers: DataFrame, offers: DataFrame, events: DataFrame) -> DataFrame:
+    """Rows per label of ``all_labelled_pairs``, counted without forming a pair."""
+    done = (completion_counts(events).join(customers.select(F.col("id").alias("customer_id")), "customer_id", "left_semi")
+            .join(offers.select(F.col("id").alias("offer_id")), "offer_id", "left_semi"))
+    counts = done.agg(F.coalesce(F.sum("n_completions"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("pairs"))
+    rows = lambda df: df.agg(F.count(F.lit(1))).toDF("n").scalar()
+    cells = F.array(F.struct(F.lit(0).alias("completed"), (rows(customers) * rows(offers) - F.col("pairs")).alias("n_rows")),
+                    F.struct(F.lit(1).alias("completed"), F.col("n").alias("n_rows")))
+    return counts.select(F.explode(cells).alias("c")).select("c.*").filter("n_rows > 0")
+
+
 def feature_summary(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
     """Rows and number of features per table; ``keys`` names the columns that are not features."""
     return ordered.union_all([

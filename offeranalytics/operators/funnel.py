@@ -16,6 +16,13 @@ def offer_columns(portfolio: DataFrame, columns: list[str]) -> DataFrame:
     return small_side(portfolio.select(F.col("id").alias("offer_id"), *columns))
 
 
+def attach_offer(events: DataFrame, portfolio: DataFrame, columns: list[str]) -> DataFrame:
+    """All events with attributes of their offer. Events without an offer are spread by person, not sent to one task."""
+    spread = F.coalesce("offer_id", F.concat(F.lit("\0"), F.pmod(F.xxhash64("person"), F.lit(4096)).cast("string")))
+    offers = offer_columns(portfolio, columns).withColumnRenamed("offer_id", "_key")
+    return events.withColumn("_key", spread).join(offers, "_key", "left").drop("_key")
+
+
 def with_offer(events: DataFrame, portfolio: DataFrame, columns: list[str]) -> DataFrame:
     """Offer events with attributes of their offer; unknown offers keep nulls."""
     return events.filter(F.col("offer_id").isNotNull()).join(offer_columns(portfolio, columns), "offer_id", "left")

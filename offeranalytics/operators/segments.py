@@ -165,8 +165,9 @@ def gap_statistic(points: DataFrame, max_k: int = 15, references: int = 10, seed
     box = points.select(F.posexplode("features").alias("i", "x")).groupBy("i").agg(F.min("x"), F.max("x")).orderBy("i").collect()
 
     def reference(b: int) -> DataFrame:
-        columns = [low + F.rand(seed * 1000 + b * 100 + i) * (high - low) for i, low, high in box]
-        return durable(spark.range(rows).select(F.array(*columns).alias("features")))
+        # a hash of the row, column, replicate and seed: the same numbers however the rows are split, and none stored
+        uniform = lambda i: F.pmod(F.xxhash64("id", F.lit(i), F.lit(b), F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+        return spark.range(rows).select(F.array(*[low + uniform(i) * (high - low) for i, low, high in box]).alias("features"))
 
     frames = [reference(b) for b in range(references)]
     cost = lambda frame, k: math.log(fit_kmeans(frame, k, seeds).summary.trainingCost)

@@ -216,12 +216,12 @@ FROM profile p CROSS JOIN portfolio o LEFT JOIN (SELECT * FROM ev WHERE event =
 
 @query("j07_labelled_pairs", LABELS)
 def labels(d: Inputs):
-    return ft.labelled_pairs(ft.customer_offer_pairs(d.profile.select("id"), d.portfolio.select("id")), d.events)
+    return ft.all_labelled_pairs(d.profile.select("id"), d.portfolio.select("id"), d.events)
 
 
 @query("j07_labelled_pairs_once", f"SELECT DISTINCT * FROM ({LABELS})")
 def labels_once(d: Inputs):
-    return ft.labelled_pairs(ft.customer_offer_pairs(d.profile.select("id"), d.portfolio.select("id")), d.events, dedupe=True)
+    return ft.all_labelled_pairs(d.profile.select("id"), d.portfolio.select("id"), d.events, dedupe=True)
 
 
 @query("j10_full_outer", """
@@ -261,8 +261,7 @@ SELECT p.customer_id, p.offer_id, coalesce(viewed_via_email, 0) viewed_via_email
 FROM (SELECT p.id customer_id, o.id offer_id FROM profile p CROSS JOIN portfolio o) p LEFT JOIN ({VIEWED_SQL}) v
 ON p.customer_id = v.customer_id AND p.offer_id = v.offer_id""")
 def pair_view_flags(d: Inputs):
-    pairs = ft.customer_offer_pairs(d.profile.select("id"), d.portfolio.select("id"))
-    return ft.with_view_flags(pairs, ft.viewed_channels(d.events, d.portfolio))
+    return ft.all_view_flags(d.profile.select("id"), d.portfolio, d.events)
 
 
 @query("t01_rfm_features", "SELECT * FROM rf", doubles="recency_days monetary")
@@ -292,8 +291,7 @@ def features(d: Inputs):
 @query("a27_interaction_summary", f"""
 SELECT completed, count(*) n_rows FROM ({LABELS}) GROUP BY completed""")
 def label_distribution(d: Inputs):
-    pairs = ft.customer_offer_pairs(d.profile.select("id"), d.portfolio.select("id"))
-    return ft.label_distribution(ft.labelled_pairs(pairs, d.events))
+    return ft.pair_label_counts(d.profile, d.portfolio, d.events)
 
 
 @query("a27_feature_summary", """
