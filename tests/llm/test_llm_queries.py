@@ -76,3 +76,24 @@ def test_entry_lists_all_operators():
 
     names = __spark_entry__.queries()
     assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+
+
+def test_odd_conversations_and_pages(spark):
+    """Nulls in every column, repeated rows, no rows, and columns named as the operators name theirs."""
+    from offeranalytics.llm import chat, warc
+
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, None, None, None), (None, 1, "assistant", ""), (None, None, None, "x" * 300_000)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    for name in ("conv", "parts", "head", "body", "start", "span", "turns", "formatted", "loss"):
+        turns = turns.withColumn(name, turns.role)
+    got = {r.conv_id: (r.n_turns, r.loss_chars) for r in chat.digest(chat.format_chats(turns)).collect()}
+    assert got == {1: (3, 0), None: (2, 0)}
+    assert chat.digest(chat.format_chats(turns.where("false"))).count() == 0
+    pages = spark.createDataFrame([(1, None, None), (1, None, None), (2, "u", "p" * 500), (2, "u", "p" * 500), (3, "", "p" * 500), (None, "v", None), (4, "w", "q" * 300_000)],
+                                  "page_id bigint, url string, html string")
+    for name in ("id", "payload", "digest", "first", "value", "n", "file", "_salt"):
+        pages = pages.withColumn(name, pages.url)
+    got = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(pages).collect())
+    assert got == [(0, 0, "response", None), (1, 0, "response", None), (1, 0, "response", None), (2, 500, "response", None), (2, 500, "response", None),
+                   (3, 500, "revisit", 2), (4, 300_000, "response", None)]
+    assert warc.round_trip(pages.where("false")).count() == 0
