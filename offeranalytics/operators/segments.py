@@ -159,7 +159,7 @@ def best_k(curve: DataFrame) -> DataFrame:
     return picks.withColumn("optimal_k_elbow", elbow(curve).scalar())
 
 
-def gap_statistic(points: DataFrame, max_k: int = 15, references: int = 10, seeds=(0,), seed: int = 42) -> DataFrame:
+def gap_statistic(points: DataFrame, max_k: int = 15, references: int = 10, seeds=tuple(range(10)), seed: int = 42) -> DataFrame:
     """Gap of log WCSS against uniform reference tables of the same size and range, with its standard error."""
     spark, rows = points.sparkSession, points.count()
     box = points.select(F.posexplode("features").alias("i", "x")).groupBy("i").agg(F.min("x"), F.max("x")).orderBy("i").collect()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scale import durable
 from ..operators import features as ft, models as md
+from .feature_plans import LABELS
 from .registry import Inputs, query
 
 RANKED = "SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 rk FROM scored"
@@ -89,8 +90,18 @@ def sample(d: Inputs):
     return md.stratified_sample(d.scored.select("row_id", "label"), "label", "row_id")
 
 
+_STORED: dict[tuple[str, str], tuple] = {}
+
+
 def _modelling(d: Inputs):
-    """Train and test rows of the pair table with its standardised inputs, stored once."""
+    """Train and test rows of the pair table with its standardised inputs, stored once per session and folder."""
+    key = (d.spark.sparkContext.applicationId, d.sf_dir)
+    if key not in _STORED:
+        _STORED[key] = _build_modelling(d)
+    return _STORED[key]
+
+
+def _build_modelling(d: Inputs):
     pairs = durable(ft.interaction_features(d.features, d.events, d.portfolio))
     matrix = ft.model_matrix(pairs).withColumn("pair", F.concat_ws(":", "customer_id", "offer_id"))
     rows = durable(ft.stratified_split(matrix, "completed", "pair"))
@@ -104,7 +115,7 @@ def _row(d: Inputs, name: str, estimator, weighted: bool = False):
     return md.evaluate(durable(md.score(model, test, "completed")), name)
 
 
-@query("f02_model_matrix_columns")
+@query("f02_model_matrix_columns", f"SELECT count(*) n_rows, CAST(sum(completed) AS BIGINT) n_positive, CAST(69 AS INT) n_features FROM ({LABELS})")
 def matrix_columns(d: Inputs):
     pairs = ft.interaction_features(d.features, d.events, d.portfolio)
     counted = pairs.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("completed").alias("n_positive"))

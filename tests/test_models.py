@@ -56,7 +56,7 @@ def test_kmeans_sweep_stability_and_components(spark):
     assert costs == sorted(costs, reverse=True) and len(costs) == 4
     best = sg.best_k(curve).first()
     assert best["optimal_k_silhouette"] == 3 and best["optimal_k_elbow"] == 3
-    assert sg.gap_choice(sg.gap_statistic(points, 4, 2)).first()[0] == 3
+    assert sg.gap_choice(sg.gap_statistic(points, 4, 2, (0,))).first()[0] == 3
     assert sg.stability(points, "id", 3, (1, 2, 3), 2).first()["stability"] == "highly stable"
     model = sg.fit_kmeans(points, 3, (0, 1))
     assert sg.labelling_quality(sg.assign_nearest(points, sg.centres(model, spark))).first()["wcss"] == pytest.approx(costs[1], rel=1e-6)
