@@ -137,10 +137,12 @@ def evaluate(scored: DataFrame, name: str) -> DataFrame:
         average_precision(counted).scalar().alias("average_precision"), brier_score(scored).scalar().alias("brier_score"))
 
 
-def compare(estimators: dict[str, object], train: DataFrame, test: DataFrame, columns: list[str], label: str) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Fit every estimator and rank by AUC; also returns the fitted models."""
+def compare(estimators: dict[str, object], train: DataFrame, test: DataFrame, columns: list[str], label: str,
+            fitted: dict[str, PipelineModel] | None = None) -> tuple[DataFrame, dict[str, PipelineModel]]:
+    """Fit every estimator that is not in ``fitted`` and rank by AUC; also returns the fitted models."""
+    fitted = fitted or {}
     train = durable(with_weights(train, label))
-    models = {name: fit(e, train, columns, label) for name, e in estimators.items()}
+    models = {name: fitted.get(name) or fit(e, train, columns, label) for name, e in estimators.items()}
     rows = [evaluate(durable(score(m, test, label)), name) for name, m in models.items()]
     return ordered.union_all(rows).orderBy(F.desc("auc_roc"), "model"), models
 

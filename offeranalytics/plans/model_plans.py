@@ -109,10 +109,23 @@ def _build_modelling(d: Inputs):
     return rows.filter("is_test = 0"), rows.filter("is_test = 1"), columns
 
 
-def _row(d: Inputs, name: str, estimator, weighted: bool = False):
-    train, test, columns = _modelling(d)
-    model = md.fit(estimator, durable(md.with_weights(train, "completed")) if weighted else train, columns, "completed")
-    return md.evaluate(durable(md.score(model, test, "completed")), name)
+ESTIMATORS = {"Logistic Regression (Baseline)": md.logistic, "Random Forest": md.random_forest, "Gradient Boosting": md.boosting,
+              "Weighted Boosting": md.weighted_boosting}
+_FITTED: dict[tuple[str, str, str], object] = {}
+
+
+def _fitted(d: Inputs, name: str):
+    """The model with its full settings, fitted once per session and folder."""
+    key = (d.spark.sparkContext.applicationId, d.sf_dir, name)
+    if key not in _FITTED:
+        train, _, columns = _modelling(d)
+        _FITTED[key] = md.fit(ESTIMATORS[name](), durable(md.with_weights(train, "completed")), columns, "completed")
+    return _FITTED[key]
+
+
+def _row(d: Inputs, name: str):
+    _, test, _ = _modelling(d)
+    return md.evaluate(durable(md.score(_fitted(d, name), test, "completed")), name)
 
 
 @query("f02_model_matrix_columns", f"SELECT count(*) n_rows, CAST(sum(completed) AS BIGINT) n_positive, CAST(69 AS INT) n_features FROM ({LABELS})")
@@ -124,22 +137,22 @@ def matrix_columns(d: Inputs):
 
 @query("m01_logistic")
 def logistic(d: Inputs):
-    return _row(d, "Logistic Regression (Baseline)", md.logistic())
+    return _row(d, "Logistic Regression (Baseline)")
 
 
 @query("m02_random_forest")
 def forest(d: Inputs):
-    return _row(d, "Random Forest", md.random_forest())
+    return _row(d, "Random Forest")
 
 
 @query("m03_gradient_boosting")
 def boosting(d: Inputs):
-    return _row(d, "Gradient Boosting", md.boosting(maxIter=20))
+    return _row(d, "Gradient Boosting")
 
 
 @query("m04_weighted_boosting")
 def weighted(d: Inputs):
-    return _row(d, "Weighted Boosting", md.weighted_boosting(maxIter=10), weighted=True)
+    return _row(d, "Weighted Boosting")
 
 
 @query("m05_cross_validation")
@@ -157,17 +170,15 @@ def grid(d: Inputs):
 @query("m12_model_comparison")
 def comparison(d: Inputs):
     train, test, columns = _modelling(d)
-    return md.compare({"Baseline": md.logistic(), "Random Forest": md.random_forest(numTrees=20)}, train, test, columns, "completed")[0]
+    return md.compare({n: e() for n, e in ESTIMATORS.items()}, train, test, columns, "completed", {n: _fitted(d, n) for n in ESTIMATORS})[0]
 
 
 @query("m13_feature_importance")
 def importance(d: Inputs):
-    train, _, columns = _modelling(d)
-    return md.importances(md.fit(md.random_forest(numTrees=20), train, columns, "completed"), columns, d.spark)
+    return md.importances(_fitted(d, "Random Forest"), _modelling(d)[2], d.spark)
 
 
 @query("m15_permutation_importance")
 def permutation(d: Inputs):
-    train, test, columns = _modelling(d)
-    model = md.fit(md.random_forest(numTrees=20), train, columns, "completed")
-    return md.permutation_importance(model, test, columns, "completed", "pair", ["offers_completed", "completion_rate", "trans_total", "difficulty"])
+    _, test, columns = _modelling(d)
+    return md.permutation_importance(_fitted(d, "Random Forest"), test, columns, "completed", "pair", ["offers_completed", "completion_rate", "trans_total", "difficulty"])
