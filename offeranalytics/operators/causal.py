@@ -229,25 +229,30 @@ Z_BETA = 0.8416212335729143
 
 
 def required_sample(rates: DataFrame, p1: str, p2: str, customers: int | Column) -> DataFrame:
-    """Effect size, sample per arm for 5% and 80% power, and whether enough customers exist."""
+    """Effect size, sample per arm for 5% and 80% power, and whether enough customers exist.
+
+    Rates outside 0 to 1 (more completions than receipts) are no proportions: effect 0, no sample size, not feasible.
+    """
     a, b = F.col(p1), F.col(p2)
     mean = (a + b) / 2
     spread = mean * (1 - mean)
-    effect = F.when(spread > 0, F.abs(b - a) / F.sqrt(spread)).otherwise(0.0)
+    valid = a.between(0, 1) & b.between(0, 1)
+    effect = F.when(valid & (spread > 0), F.abs(b - a) / F.sqrt(spread)).otherwise(0.0)
     root = Z_ALPHA * F.sqrt(2 * spread) + Z_BETA * F.sqrt(a * (1 - a) + b * (1 - b))
-    n = F.when(F.abs(a - b) > 1e-10, F.ceil(root * root / ((b - a) * (b - a))))
+    n = F.when(valid & (F.abs(a - b) > 1e-10), F.ceil(root * root / ((b - a) * (b - a))))
     people = F.lit(customers) if isinstance(customers, int) else customers
     return rates.withColumn("effect_size", effect).withColumn("n_per_group", n).withColumn(
         "total_sample", 2 * F.col("n_per_group")).withColumn("feasible", F.coalesce(F.col("total_sample") <= people, F.lit(False)))
 
 
 def power_curve(rates: DataFrame, p1: str, p2: str, sizes: list[int]) -> DataFrame:
-    """Power of the two-sided test at each sample size per arm, in closed form."""
+    """Power of the two-sided test at each sample size per arm, in closed form; null for rates outside 0 to 1."""
     a, b, n = F.col(p1), F.col(p2), F.col("n_per_group")
     at = rates.withColumn("n_per_group", F.explode(F.array(*[F.lit(s) for s in sizes])))
     shift = at.withColumn("shift", F.abs(b - a) / F.sqrt((a * (1 - a) + b * (1 - b)) / n))
     power = special.normal_cdf(F.col("shift") - Z_ALPHA) + special.normal_cdf(-F.col("shift") - Z_ALPHA)
-    return shift.select("n_per_group", (2 * n).alias("total_n"), power.alias("power"))
+    valid = a.between(0, 1) & b.between(0, 1)
+    return shift.select("n_per_group", (2 * n).alias("total_n"), F.when(valid, power).alias("power"))
 
 
 def split_readout(events: DataFrame, portfolio: DataFrame, offer_type: str | None = None) -> DataFrame:

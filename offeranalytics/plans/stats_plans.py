@@ -403,16 +403,20 @@ def _rates(d: Inputs):
     return people.withColumn("p2", f.overall_funnel(d.events).select("completion_rate").scalar())
 
 
+PROPORTIONS = "p1 BETWEEN 0 AND 1 AND p2 BETWEEN 0 AND 1"
+
+
 @query("c09_required_sample", f"""
-SELECT p1, p2, abs(p2 - p1) / sqrt(m * (1 - m)) effect_size, CAST(ceil(pow({c.Z_ALPHA}::DOUBLE * sqrt(2 * m * (1 - m)) + {c.Z_BETA}::DOUBLE * sqrt(p1 * (1 - p1) + p2 * (1 - p2)), 2) / pow(p2 - p1, 2)) AS BIGINT) n_per_group,
-       2 * n_per_group total_sample, 2 * n_per_group <= (SELECT count(*) FROM profile) feasible FROM (SELECT *, (p1 + p2) / 2 m FROM ({RATES}))""", doubles="p1 p2 effect_size")
+SELECT p1, p2, CASE WHEN {PROPORTIONS} THEN abs(p2 - p1) / sqrt(m * (1 - m)) ELSE 0 END effect_size,
+       CASE WHEN {PROPORTIONS} THEN CAST(ceil(pow({c.Z_ALPHA}::DOUBLE * sqrt(2 * m * (1 - m)) + {c.Z_BETA}::DOUBLE * sqrt(p1 * (1 - p1) + p2 * (1 - p2)), 2) / pow(p2 - p1, 2)) AS BIGINT) END n_per_group,
+       2 * n_per_group total_sample, coalesce(2 * n_per_group <= (SELECT count(*) FROM profile), false) feasible FROM (SELECT *, (p1 + p2) / 2 m FROM ({RATES}))""", doubles="p1 p2 effect_size")
 def required_sample(d: Inputs):
     return c.required_sample(_rates(d), "p1", "p2", d.profile.agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
 @query("c10_power_curve", f"""
-SELECT CAST(n AS INT) n_per_group, CAST(2 * n AS INT) total_n, CASE WHEN d > 0 THEN 1 - {normal_p('d')} / 2 ELSE {normal_p('d')} / 2 END + {normal_p('e')} / 2 AS power FROM (
-SELECT n, abs(p2 - p1) / sqrt((p1 * (1 - p1) + p2 * (1 - p2)) / n) - {c.Z_ALPHA}::DOUBLE d, abs(p2 - p1) / sqrt((p1 * (1 - p1) + p2 * (1 - p2)) / n) + {c.Z_ALPHA}::DOUBLE e
+SELECT CAST(n AS INT) n_per_group, CAST(2 * n AS INT) total_n, CASE WHEN d IS NULL THEN NULL WHEN d > 0 THEN 1 - {normal_p('d')} / 2 ELSE {normal_p('d')} / 2 END + {normal_p('e')} / 2 AS power FROM (
+SELECT n, CASE WHEN {PROPORTIONS} THEN abs(p2 - p1) / sqrt((p1 * (1 - p1) + p2 * (1 - p2)) / n) - {c.Z_ALPHA}::DOUBLE END d, abs(p2 - p1) / sqrt((p1 * (1 - p1) + p2 * (1 - p2)) / n) + {c.Z_ALPHA}::DOUBLE e
 FROM ({RATES}) CROSS JOIN (VALUES (100), (500), (1000), (2000), (5000), (10000)) s(n))""", doubles="power")
 def power(d: Inputs):
     return c.power_curve(_rates(d), "p1", "p2", [100, 500, 1000, 2000, 5000, 10000])

@@ -6,7 +6,8 @@ from compare import compare, connect
 import __spark_entry__ as entry_points
 
 SF = "/root/testdata/sf0.001"
-SQL = entry_points.oracle_sql()
+# queries of the llm subpackage have their tests beside it
+SQL = {name: sql for name, sql in entry_points.oracle_sql().items() if name in entry_points.QUERIES}
 QUERIES = entry_points.queries()
 
 
