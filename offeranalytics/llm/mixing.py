@@ -1,17 +1,22 @@
 """Mixing of sources to target weights by Pfair scheduling, in DataFrame functions only.
 
-Every source's rows are dealt into blocks. In a cycle of T slots a source with a blocks has release times
-floor(i T / a) and deadlines ceil((i + 1) T / a); in each slot the released block with the earliest deadline runs.
-As the blocks of a cycle add up to T, every block meets its window, so at any slot a source has run less than one
-block more or less than its weight asks for. Cycles repeat while all sources last; when one runs out the others
-go on with their weights in proportion. Every row gets exactly one place.
+Every source's rows are dealt into blocks. Block i of a source with share w of a phase has release time floor(i / w) and
+deadline ceil((i + 1) / w), counted from the phase's first slot; in each slot the released block with the earliest
+deadline runs. As the shares add up to 1, every block meets its window, so at any slot of a phase, however long, a
+source has run less than one block more or less than its weight asks for. A phase lasts until a source runs out; the
+others go on with their weights in proportion. Every row gets exactly one place.
 """
 
+import heapq
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import cut, literal_rows
 
+#: Slots that one task schedules at a time; a source without weight gets one block in as many.
 CYCLE = 1000
+#: Shares are whole numbers of this sum, or less where block numbers times it would leave 64 bits.
+SHARES = 10**12
 BLOCK_ROWS = 32
 BUCKET_ROWS = 50_000
 LEAST_BUCKETS = 64
@@ -31,59 +36,108 @@ def apportion(weights: dict[str, float], total: int) -> dict[str, int]:
     return parts
 
 
-def cycles(blocks: dict[str, int], weights: dict[str, float], cycle: int = CYCLE) -> list[dict]:
-    """The cycles that schedule all blocks: first slot, slots, repeats, and per source its blocks a cycle and
-    its first block. At most two for each source: it ends the full cycles, then the cycle in which it runs out."""
-    left, used, slot, found = dict(blocks), dict.fromkeys(blocks, 0), 0, []
+def shares_of(weights: dict[str, float], whole: int, cycle: int) -> dict[str, int]:
+    """Shares of sum ``whole``: a ``cycle``-th for sources without weight, half of all at most, the rest in proportion."""
+    weighty = {s: w for s, w in weights.items() if w > 0}
+    if not weighty:
+        return apportion(weights, whole)
+    zero = len(weights) - len(weighty)
+    each = max(1, min(whole // cycle, whole // (2 * max(zero, 1))))
+    return dict.fromkeys(weights, each) | apportion(weighty, whole - zero * each)
+
+
+def phase(blocks: list[int], shares: list[int], cycle: int) -> tuple[list[int], list[list[int]]]:
+    """Blocks run by each source until one runs out, and the blocks run before every ``cycle``-th slot.
+
+    Blocks are scheduled here once, in order, and only these counts are kept; tasks repeat the slots between them.
+    """
+    whole = sum(shares)
+    done, starts = [0] * len(blocks), []
+    waiting, ready = [(0, i) for i in range(len(blocks))], []
+    for t in range(min(-(-n * whole // a) for n, a in zip(blocks, shares))):
+        if t % cycle == 0:
+            starts.append(list(done))
+        while waiting and waiting[0][0] <= t:
+            _, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(done[i] + 1) * whole // shares[i]), i))
+        if not ready:
+            if starts[-1] == done:
+                starts.pop()
+            break
+        _, i = heapq.heappop(ready)
+        done[i] += 1
+        if done[i] < blocks[i]:
+            heapq.heappush(waiting, (done[i] * whole // shares[i], i))
+    return done, starts
 
-    def add(counts: dict[str, int], repeats: int) -> None:
-        nonlocal slot
-        counts = {s: c for s, c in counts.items() if c}
-        slots = sum(counts.values())
-        if slots and repeats:
-            found.append({"cycle": len(found), "first_slot": slot, "slots": slots, "repeats": repeats, "parts": [
-                {"source": s, "blocks": c, "first_block": used[s]} for s, c in sorted(counts.items())]})
-            slot += slots * repeats
-            for s, c in counts.items():
-                used[s] += c * repeats
-                left[s] -= c * repeats
 
+def cycles(blocks: dict[str, int], weights: dict[str, float], cycle: int = CYCLE) -> list[dict]:
+    """The phases that schedule all blocks, at most one for each source: first slot, slots, sum of shares, per source
+    its blocks, first block and share, and the blocks run before every ``cycle``-th slot."""
+    left, used, slot, found = dict(blocks), dict.fromkeys(blocks, 0), 0, []
+    whole = min(SHARES, 2**62 // (max(blocks.values(), default=0) + 2))
     while any(left.values()):
-        active = {s: weights[s] for s, n in left.items() if n}
-        counts = apportion(active, cycle)
-        add(counts, min(left[s] // c for s, c in counts.items()))
-        ratio = min(left[s] / c for s, c in counts.items())
-        if ratio > 0:
-            add({s: min(left[s], max(int(c * ratio + 0.5), int(left[s] / c == ratio) * left[s])) for s, c in counts.items()}, 1)
+        active = sorted(s for s, n in left.items() if n)
+        shares = shares_of({s: weights[s] for s in active}, whole, cycle)
+        done, starts = phase([left[s] for s in active], [shares[s] for s in active], cycle)
+        found.append({"cycle": len(found), "first_slot": slot, "slots": sum(done), "repeats": 1, "whole": sum(shares.values()), "starts": starts, "parts": [
+            {"source": s, "blocks": n, "first_block": used[s], "share": shares[s]} for s, n in zip(active, done)]})
+        slot += sum(done)
+        for s, n in zip(active, done):
+            used[s] += n
+            left[s] -= n
     return found
 
 
-def edf_order(slots: Column, blocks: Column) -> Column:
-    """Index of the source that runs in each slot: of the released blocks the one with the earliest deadline."""
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
+def release_of(i: Column, whole: Column, share: Column) -> Column:
+    return _div(i * whole, share)
+
+
+def deadline_of(i: Column, whole: Column, share: Column) -> Column:
+    return _div((i + 1) * whole + share - 1, share)
+
+
+def edf_turns(whole: Column, shares: Column, blocks: Column, start: Column, first: Column, end: Column) -> Column:
+    """(i, n) for each slot from ``first`` to ``end``: the source whose released block has the earliest deadline, and
+    that block's number. ``start`` holds the blocks each source has run before."""
     def step(state: Column, t: Column) -> Column:
         def bid(done: Column, i: Column) -> Column:
-            a = F.get(blocks, i)
-            released = F.floor(done * slots / a) <= t
-            return F.when((done < a) & released, F.struct(F.ceil((done + 1) * slots / a).alias("deadline"), i.alias("i")))
+            share = F.get(shares, i)
+            return F.when((done < F.get(blocks, i)) & (release_of(done, whole, share) <= t),
+                          F.struct(deadline_of(done, whole, share).alias("deadline"), i.alias("i"), done.alias("n")))
 
-        bids = F.array_min(F.transform(state["done"], bid))["i"]
+        bids = F.array_min(F.transform(state["done"], bid))
         # a one-element transform names the winner, so it is found once a slot
         return F.transform(F.array(bids), lambda pick: F.struct(
-            F.transform(state["done"], lambda d, i: d + F.when(i == pick, 1).otherwise(0)).alias("done"),
-            F.concat(state["order"], F.array(pick)).alias("order")))[0]
+            F.transform(state["done"], lambda d, i: d + F.when(i == pick["i"], 1).otherwise(0)).alias("done"),
+            F.concat(state["turns"], F.array(F.struct(pick["i"].alias("i"), pick["n"].alias("n")))).alias("turns")))[0]
+
+    zero = F.struct(start.alias("done"), F.array().cast("array<struct<i:int,n:bigint>>").alias("turns"))
+    return F.aggregate(F.sequence(first, end - 1), zero, step, lambda s: s["turns"])
 
-    start = F.struct(F.transform(blocks, lambda b: F.lit(0)).alias("done"), F.array().cast("array<int>").alias("order"))
-    return F.aggregate(F.sequence(F.lit(0), slots - 1), start, step, lambda s: s["order"])
+
+def edf_order(slots: Column, blocks: Column) -> Column:
+    """Index of the source that runs in each slot, where the numbers of blocks are the shares and fill all slots."""
+    counts = blocks.cast("array<bigint>")
+    turns = edf_turns(slots.cast("bigint"), counts, counts, F.transform(counts, lambda b: F.lit(0).cast("bigint")), F.lit(0).cast("bigint"), slots.cast("bigint"))
+    return F.transform(turns, lambda t: t["i"])
 
 
-def schedule(plan: DataFrame) -> DataFrame:
-    """(source, spans): per source the cycles it takes part in and the slots of its blocks in each."""
-    ordered = plan.repartition("cycle").withColumn("order", edf_order(F.col("slots"), F.transform("parts", lambda p: p["blocks"])))
-    mine = F.filter(F.sequence(F.lit(0), F.col("slots") - 1), lambda t: F.get("order", t) == F.col("i"))
-    each = ordered.select("cycle", "first_slot", "slots", "repeats", "order", F.posexplode("parts").alias("i", "part"))
-    spans = each.select("part.source", F.struct("part.first_block", (F.col("part.first_block") + F.col("part.blocks") * F.col("repeats")).alias("end_block"),
-                                                "part.blocks", "first_slot", "slots", mine.alias("at")).alias("span"))
-    return spans.groupBy("source").agg(F.array_sort(F.collect_list("span")).alias("spans"))
+def schedule(plan: DataFrame, cycle: int = CYCLE) -> DataFrame:
+    """(source, block, slot, release, deadline) of every block."""
+    each = plan.select("cycle", "first_slot", "slots", "whole", "parts", F.posexplode("starts").alias("no", "start")).repartition("cycle", "no")
+    first = F.col("no").cast("bigint") * cycle
+    turns = edf_turns(F.col("whole"), F.transform("parts", lambda p: p["share"]), F.transform("parts", lambda p: p["blocks"]), F.col("start"),
+                      first, F.least(first + cycle, "slots"))
+    run = each.select("first_slot", "whole", "parts", first.alias("first"), F.posexplode(turns).alias("at", "turn"))
+    run = run.withColumn("part", F.get("parts", F.col("turn.i")))
+    n, whole, share = F.col("turn.n"), F.col("whole"), F.col("part.share")
+    return run.select("part.source", (F.col("part.first_block") + n).alias("block"), (F.col("first_slot") + F.col("first") + F.col("at")).alias("slot"),
+                      (F.col("first_slot") + release_of(n, whole, share)).alias("release"), (F.col("first_slot") + deadline_of(n, whole, share)).alias("deadline"))
 
 
 def numbered(docs: DataFrame, source: Column, id_col: str, text_col: str | None) -> tuple[DataFrame, dict[str, int]]:
@@ -112,7 +166,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, exponent: floa
     """``docs`` with block, slot, release, deadline and position; ordered by position the sources mix to weight.
 
     ``weights`` are shares of blocks by source; without them a source weighs its number of rows to the power of
-    ``exponent``. Sources missing in ``weights`` and weights of 0 get one block a cycle. A null source is a source of
+    ``exponent``. Sources missing in ``weights`` and weights of 0 get one block in ``cycle`` slots. A null source is a source of
     its own. Repeated rows and null ids get a place each; an empty table stays empty. A position is slot times
     ``block_rows`` plus the place in the block; only a source's last block may be short. One row per source (their
     names are configured) reaches the driver. Columns of these names in ``docs`` are replaced.
@@ -123,18 +177,12 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, exponent: floa
     given = {f"={s}" if s is not None else "": w for s, w in (weights or {}).items()}
     weight = {s: given.get(s, 0.0) if weights else n**exponent for s, n in rows.items()}
     plan = cycles({s: -(-n // block_rows) for s, n in rows.items()}, weight, cycle)
-    spans = schedule(literal_rows(docs.sparkSession, plan, "cycle int, first_slot bigint, slots int, repeats bigint, "
-                                  "parts array<struct<source string, blocks int, first_block bigint>>"))
-    placed = ranked.join(F.broadcast(spans.withColumnRenamed("source", "__source").withColumnRenamed("spans", "__spans")), "__source")
-    block = F.floor(F.col("__rank") / block_rows)
-    placed = placed.withColumn("block", block).withColumn("__span", F.filter(
-        "__spans", lambda s: (s["first_block"] <= F.col("block")) & (F.col("block") < s["end_block"]))[0]).drop("__spans")
-    span = F.col("__span")
-    turn = F.col("block") - span["first_block"]
-    i = turn % span["blocks"]
-    base = span["first_slot"] + F.floor(turn / span["blocks"]) * span["slots"]
-    slot = base + F.get(span["at"], i.cast("int"))
-    return placed.withColumns({
-        "slot": slot.cast("long"), "release": (base + F.floor(i * span["slots"] / span["blocks"])).cast("long"),
-        "deadline": (base + F.ceil((i + 1) * span["slots"] / span["blocks"])).cast("long"),
-        "position": (slot * block_rows + F.col("__rank") % block_rows).cast("long")}).drop("__span", "__rank", "__source")
+    places = schedule(literal_rows(docs.sparkSession, plan, "cycle int, first_slot bigint, slots bigint, whole bigint, starts array<array<bigint>>, "
+                                   "parts array<struct<source string, blocks bigint, first_block bigint, share bigint>>"), cycle)
+    places = places.withColumnRenamed("source", "__source")
+    # at most block_rows rows share a place, so a shuffle has no hot key
+    if sum(p["slots"] for p in plan) <= BROADCAST_ROWS:
+        places = F.broadcast(places)
+    placed = ranked.withColumn("block", F.floor(F.col("__rank") / block_rows)).join(places, ["__source", "block"])
+    position = (F.col("slot") * block_rows + F.col("__rank") % block_rows).cast("long")
+    return placed.select(*[f"`{c}`" for c in docs.columns], "block", "slot", "release", "deadline", position.alias("position"))
