@@ -158,13 +158,15 @@ def weighted(d: Inputs):
 @query("m05_cross_validation")
 def cross_validation(d: Inputs):
     train, _, columns = _modelling(d)
-    return md.cross_validate(md.logistic(regParam=0.0001, maxIter=50), train, columns, "completed", "pair")[0]
+    weighted_rows = durable(md.with_weights(train, "completed"))
+    rows = [md.cross_validate(e(), weighted_rows, columns, "completed", "pair")[0].select(F.lit(n).alias("model"), "*") for n, e in ESTIMATORS.items()]
+    return md.ordered.union_all(rows)
 
 
 @query("m06_grid_search")
 def grid(d: Inputs):
     train, _, columns = _modelling(d)
-    return md.tune_boosting(train, columns, "completed", "pair", folds=2, grid={"maxIter": [5], "maxDepth": [3, 4], "stepSize": [0.1]})[0]
+    return md.tune_boosting(train, columns, "completed", "pair")[0]
 
 
 @query("m12_model_comparison")
@@ -181,4 +183,4 @@ def importance(d: Inputs):
 @query("m15_permutation_importance")
 def permutation(d: Inputs):
     _, test, columns = _modelling(d)
-    return md.permutation_importance(_fitted(d, "Random Forest"), test, columns, "completed", "pair", ["offers_completed", "completion_rate", "trans_total", "difficulty"])
+    return md.permutation_importance(_fitted(d, "Random Forest"), test, columns, "completed", "pair")
