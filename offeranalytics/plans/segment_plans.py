@@ -188,17 +188,17 @@ def kmeans(d: Inputs):
 
 @query("k07_sweep")
 def sweep(d: Inputs):
-    return sg.sweep(_customer_points(d), 5, (0, 1))
+    return sg.sweep(_customer_points(d), 10)
 
 
 @query("k09_gap_statistic")
 def gap(d: Inputs):
-    return sg.gap_statistic(_customer_points(d), 4, references=2, seeds=(0,))
+    return sg.gap_statistic(_customer_points(d), 10)
 
 
 @query("k10_stability")
 def stability(d: Inputs):
-    return sg.stability(_customer_points(d), "id", 4, seeds=(42, 123, 456), starts=1)
+    return sg.stability(_customer_points(d), "id", 4)
 
 
 @query("f07_principal_components")

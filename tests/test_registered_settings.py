@@ -1,11 +1,11 @@
-"""Registered model queries hand the operators the whole job."""
+"""Registered model and segment queries hand the operators the whole job."""
 
 from inspect import signature
 
 from pyspark.sql import functions as F
 
-from offeranalytics.operators import models as md
-from offeranalytics.plans import model_plans
+from offeranalytics.operators import models as md, segments as sg
+from offeranalytics.plans import model_plans, segment_plans
 
 
 def caught(monkeypatch, module, name, result):
@@ -41,6 +41,15 @@ def test_model_queries_run_in_full(spark, monkeypatch):
     assert calls[0]["features"] in (None, calls[0]["columns"])
 
 
+def test_segment_queries_run_in_full(monkeypatch):
+    monkeypatch.setattr(segment_plans, "_customer_points", lambda d: None)
+    sweep, gap, stability = (caught(monkeypatch, sg, name, None) for name in ("sweep", "gap_statistic", "stability"))
+    segment_plans.sweep(None), segment_plans.gap(None), segment_plans.stability(None)
+    assert sweep[0]["max_k"] == 10 and len(set(sweep[0]["seeds"])) == 10
+    assert gap[0]["max_k"] == 10 and gap[0]["references"] == 10 and len(set(gap[0]["seeds"])) == 10
+    assert set(stability[0]["seeds"]) == {42, 123, 456, 789, 2024} and stability[0]["starts"] == 10
+
+
 def test_column_sampling_and_default_penalty_are_fitted(spark):
     rows = spark.range(200).select(F.col("id").cast("string").alias("key"), (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"),
                                    (F.col("id") % 7 > 2).cast("int").alias("y"))
