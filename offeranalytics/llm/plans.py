@@ -55,10 +55,10 @@ FROM words_of LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Here a source owns its documents, and every document is a repository."""
+    """Here a source owns its documents, and every document is a repository. Owners alone decide, as the SQL says."""
     from .secrets import digest, scan_secrets
 
-    return digest(scan_secrets(table(spark, sf_dir, "documents")))
+    return digest(scan_secrets(table(spark, sf_dir, "documents"), copied_repos=None))
 
 
 OP3_SQL = r"""

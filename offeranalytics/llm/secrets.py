@@ -1,8 +1,8 @@
 """Secret scans with corpus-wide ownership, in DataFrame functions only.
 
 Patterns find candidates and their places. Hashes of the candidates' values are then counted over the whole corpus by
-distinct repositories and owners: a value that many owners hold is a copied example, one that a single owner
-holds and that looks random is reported as live, also where no base pattern caught it.
+distinct repositories and owners: a value that many owners or many repositories hold is a copied example, one that a
+single owner holds in few repositories and that looks random is reported as live, also where no base pattern caught it.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -19,6 +19,8 @@ KINDS = ["assign", "access", "hex", "owned"]
 LEAST_VALUE = 6
 #: From this many owners on a value is a copied example.
 COPIED_OWNERS = 3
+#: From this many repositories on, whoever owns them, too.
+COPIED_REPOS = 10
 
 FOUND = "array<struct<kind:int,no:int,gap:bigint,size:bigint,value:string>>"
 
@@ -75,19 +77,24 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str | None = "source", repo_col: str | None = "doc_id",
-                 copied_owners: int = COPIED_OWNERS) -> DataFrame:
+                 copied_owners: int = COPIED_OWNERS, copied_repos: int | None = COPIED_REPOS) -> DataFrame:
     """One row per row of ``docs``: id and secrets - an array of (start, kind_no, kind, end, state), by start and kind.
 
-    A span is the whole match in code points, end exclusive. ``state`` is copied (``copied_owners`` owners or more hold
-    the value), live (one owner, at least 16 characters with letters and digits) or unsure. Base spans are always
-    listed; ``owned`` spans, which no base span touches, only while live. Null texts are empty; null owners and
-    repositories are one unknown owner or repository. Repeated rows are scanned each. Other columns are not read.
+    A span is the whole match in code points, end exclusive. ``state`` is copied (``copied_owners`` owners or
+    ``copied_repos`` repositories or more hold the value), live (one owner, fewer repositories, at least 16 characters
+    with letters and digits) or unsure. Without ``copied_repos`` owners alone decide. A repository is one name of one
+    owner. Base spans are always listed; ``owned`` spans, which no base span touches, only while live. Null texts are
+    empty; null owners and repositories are one unknown owner or repository. Repeated rows are scanned each. Other columns
+    are not read.
     """
     scanned = scan(docs, id_col, text_col, owner_col, repo_col)
     found = cut(candidates(scanned))
     facts = cut(ownership(found))
     total = facts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    state = F.when(F.col("owners") >= copied_owners, "copied").when((F.col("owners") == 1) & F.col("random"), "live").otherwise("unsure")
+    copied = F.col("owners") >= copied_owners
+    if copied_repos is not None:
+        copied = copied | (F.col("repos") >= copied_repos)
+    state = F.when(copied, "copied").when((F.col("owners") == 1) & F.col("random"), "live").otherwise("unsure")
     judged = join_facts(found, facts, ["hash"], "n", total).withColumn("state", state).where((F.col("kind") < 3) | (F.col("state") == "live"))
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
     spans = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", F.col("kind").alias("kind_no"), kind.alias("kind"), "end", "state"))).alias("secrets"))

@@ -163,6 +163,15 @@ def test_secrets_against_plain_patterns(spark):
     assert got[0].spans.startswith("owned:2:24") and got[1].n_copied == 2 and got[1].n_live == 0
 
 
+def test_one_owner_with_many_repositories_holds_a_copy(spark):
+    many, few, run = "abcdef0123456789abcdef01", "0123456789abcdef01234567", "k3yK3yk3yK3yk3yK3yk3yX"
+    rows = [(i, f"{many} {run}", "a", f"r{i}") for i in range(12)] + [(100 + i, few, "b", f"r{i % 2}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, repo string")
+    by_owner = {r.source: (r.live, r.copied) for r in secrets.digest(secrets.scan_secrets(docs, repo_col="repo")).join(docs.select("doc_id", "source"), "doc_id").groupBy(
+        "source").agg(F.sum("n_live").alias("live"), F.sum("n_copied").alias("copied")).collect()}
+    assert by_owner == {"a": (0, 12), "b": (12, 0)}
+
+
 def test_windows_at_text_ends_short_items_and_repeats(spark):
     long = [f"w{i}" for i in range(14)]
     items = spark.createDataFrame([(1, " ".join(long)), (2, "Alpha beta"), (3, "..."), (12, "beta ALPHA"), (None, "gamma gamma")], "item_id bigint, text string")
