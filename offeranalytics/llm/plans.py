@@ -170,6 +170,98 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations are rebuilt so that up to five first turns come from a shared one."""
+    from .common import cut
+    from .prefix_trie import numbered_turns, prefix_trie, shared_openings
+
+    return prefix_trie(shared_openings(cut(numbered_turns(table(spark, sf_dir, "conversations")))))
+
+
+# The list of 16 numbers is the table of the CRC-32 polynomial for four bits (fixed values)
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, d, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS no
+  FROM (SELECT conv_id, turn, length(text) AS size, md5(length(role) || ':' || role || text) AS d FROM t)),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS home, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h) + 1),
+           lambda i: CAST(instr('0123456789ABCDEF', substr(h, i + 2 * (i % 2) - 1, 1)) - 1 AS BIGINT))),
+           lambda a, b: xor(a >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+             3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][(xor(a, b) & 15) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id, hex(encode(CAST(conv_id AS VARCHAR))) AS h FROM own)),
+rebuilt AS (
+  SELECT c.conv_id, o.no AS depth, o.d, o.size FROM convs c JOIN own o ON o.conv_id = c.home AND o.no <= c.h
+  UNION ALL
+  SELECT c.conv_id, o.no - c.h + least(c.h, (SELECT count(*) FROM own g WHERE g.conv_id = c.home)), o.d, o.size FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.no > c.h
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+paths AS (
+  SELECT conv_id, depth, size, array_to_string(list(d) OVER p, '/') AS key, lead(depth) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS ends,
+         lag(depth) OVER (PARTITION BY conv_id ORDER BY depth) AS above
+  FROM rebuilt WINDOW p AS (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)),
+nodes AS (
+  SELECT key, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM paths GROUP BY key),
+up AS (SELECT n.key, n.conv_id, p.key AS parent FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+kids AS (SELECT parent AS key, count(*) AS n_children FROM up GROUP BY parent),
+sums AS (
+  SELECT p.key, sum(n.saved) AS saved_tokens, count(*) FILTER (k.key IS NULL) AS n_leaves
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN kids k ON k.key = n.key GROUP BY p.key)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN kids USING (key) JOIN sums USING (key)
+LEFT JOIN (SELECT a.key, b.conv_id FROM up a JOIN nodes b ON a.parent = b.key) u ON u.key = n.key
+"""
+
+
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the word vocabulary, each document ended by id 2."""
+    from .id_planes import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About every 97th run loses a code point before words are counted."""
+    from .spelling import counted_runs, spelling_variants
+
+    return spelling_variants(counted_runs(table(spark, sf_dir, "documents"), damage=97))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE
+found AS (
+  SELECT doc_id, run, count(*) AS c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  GROUP BY doc_id, run),
+summed AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h) + 1),
+           lambda i: CAST(instr('0123456789ABCDEF', substr(h, i + 2 * (i % 2) - 1, 1)) - 1 AS BIGINT))),
+           lambda a, b: xor(a >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+             3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][(xor(a, b) & 15) + 1])), 4294967295) AS crc FROM found),
+words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN crc % 97 = 0 THEN left(run, CAST(crc % length(run) AS INT)) || substr(run, CAST(crc % length(run) AS INT) + 2) ELSE run END AS word, c FROM summed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cuts AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INT) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS top FROM pairs GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN top END AS form_n,
+         CASE WHEN top >= 2 * w.n THEN (SELECT min(other) FROM pairs p WHERE p.word = w.word AND p.other_n = top) END AS form
+  FROM words w LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, form AS via FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON s.via = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT word, via AS root FROM steps s WHERE NOT EXISTS (SELECT 1 FROM forms f WHERE f.word = s.via AND f.form IS NOT NULL))
+SELECT word, n, form, form_n, n_near, coalesce(root, word) AS root FROM forms LEFT JOIN roots USING (word)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": Query(op1_quality, None),
     "op2_decontaminate": Query(op2_decontaminate, OP2_SQL),
@@ -181,4 +273,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": Query(op8_mixing, None),
     "op9_simhash": Query(op9_simhash, None),
     "op10_token_counts": Query(op10_token_counts, None),
+    "op11_prefix_trie": Query(op11_prefix_trie, OP11_SQL),
+    "op12_token_ids": Query(op12_token_ids, None),
+    "op13_spelling": Query(op13_spelling, OP13_SQL),
 }

@@ -75,7 +75,7 @@ def test_entry_lists_all_operators():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
 
 
 def test_odd_conversations_and_pages(spark):
