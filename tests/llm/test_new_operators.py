@@ -1,5 +1,6 @@
 """The prefix trie, the id files and the spelling variants against brute force, the library and odd tables."""
 
+import functools
 import hashlib
 import itertools
 import random
@@ -93,10 +94,11 @@ def test_id_files_give_back_every_document(mode, lengths):
             raise ValueError("nothing to break")
 
 
-def library_ids(text):
+@functools.lru_cache(maxsize=1)
+def library():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(plans.vocabulary_path("word_bpe_49k.json")).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(plans.vocabulary_path("word_bpe_49k.json"))
 
 
 def test_encoder_equals_the_library():
@@ -105,7 +107,7 @@ def test_encoder_equals_the_library():
     texts = ["".join(rng.choice(signs) + rng.choice(["", " "]) for _ in range(rng.randint(0, 60))) for _ in range(400)] + [None, "", " "]
     encoder = id_planes.Encoder(plans.vocabulary_path("word_bpe_49k.json"), None)
     for t, got in zip(texts, encoder.encode(texts)):
-        assert np.frombuffer(got, "<u4").tolist() == library_ids(t), repr(t)
+        assert np.frombuffer(got, "<u4").tolist() == library().encode(t or "", add_special_tokens=False).ids, repr(t)
     assert encoder.by_word and not id_planes.drops_white_space(plans.vocabulary_path("byte_bpe_50k.json"))
 
 
