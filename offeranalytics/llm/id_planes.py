@@ -17,7 +17,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,63 +34,77 @@ BLOCK = 1 << 16
 LEVEL = 3
 #: Bytes of text that go to one file.
 FILE_BYTES = 32 << 20
-#: Words whose ids a worker remembers.
-KNOWN = 400_000
-#: White space on which libraries may differ; a text with any of it is encoded in one piece.
-DOUBTFUL = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+#: Pieces whose ids a worker remembers.
+KNOWN = 600_000
+# The pattern by which the word vocabulary cuts lower-cased texts, and the same for Latin-1 letters
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+#: Where the two may differ: rare white space, other letters and numbers, and what could be a special string.
+OTHER = re.compile("[\x1c-\x1f\x85\xa0\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\u0100-\U0010ffff]|<\\|")
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, as little-endian 32-bit numbers.
 
-    For a vocabulary that drops white space and never looks across it, a text's ids are those of its words one after the
-    other; each worker then has the library encode a word once and remembers it.
+    Where a vocabulary cuts texts by ``PATTERN``, a text of Latin-1 letters is cut here and the library's model encodes each
+    piece once; a worker remembers the first ``KNOWN``. All other texts go to the library whole.
     """
 
     def __init__(self, path: str, end_id: int | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.by_word = drops_white_space(path)
+        self.by_piece = cuts_by_pattern(path)
+        if self.by_piece:
+            self.model = Tokenizer.from_file(path)
+            self.model.normalizer = normalizers.Sequence([])
+            self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {}
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id; null counts as empty."""
         whole = [t or "" for t in texts]
-        words = [t.split() if self.by_word and not DOUBTFUL.search(t) else None for t in whole]
-        known = self.known
-        new = list({w for ws in words if ws is not None for w in ws if w not in known})
-        if len(known) + len(new) > KNOWN:
-            known = self.known = {}
-            new = list({w for ws in words if ws is not None for w in ws})
-        known.update(zip(new, self._ids(new)))
-        return [(b"".join(map(known.__getitem__, ws)) if ws is not None else self._ids([t])[0]) + self.end for t, ws in zip(whole, words)]
-
-
-def drops_white_space(path: str) -> bool:
-    """Does the vocabulary keep only matches of a pattern of letters, digits and signs, and normalise by code point?"""
+        cut_up = [PIECES.findall(t.lower()) if self.by_piece and not OTHER.search(t) else None for t in whole]
+        new = list({p for ps in cut_up if ps for p in ps if p not in self.known})
+        fresh = dict(zip(new, self._ids(self.model, new))) if new else {}
+        if len(self.known) + len(new) <= KNOWN:
+            self.known |= fresh
+            fresh = self.known
+        else:
+            fresh |= {p: self.known[p] for ps in cut_up if ps for p in ps if p in self.known}
+        return [(b"".join(map(fresh.__getitem__, ps)) if ps is not None else self._ids(self.tokenizer, [t])[0]) + self.end
+                for t, ps in zip(whole, cut_up)]
+
+
+def cuts_by_pattern(path: str) -> bool:
+    """Does the vocabulary normalise as the word vocabulary does and cut by ``PATTERN``, dropping what does not match?"""
     with open(path, encoding="utf-8") as file:
         data = json.load(file)
-    parts = (data.get("pre_tokenizer") or {}).get("pretokenizers") or [data.get("pre_tokenizer") or {}]
+    split, *rest = (data.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     normalizers = (data.get("normalizer") or {}).get("normalizers") or []
     space = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
-    return (parts[0].get("type") == "Split" and parts[0].get("behavior") == "Removed" and parts[0].get("invert") is True
-            and parts[0].get("pattern", {}).get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-            and all(p.get("type") == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex") for p in parts[1:])
-            and all(n.get("type") in ("NFC", "Lowercase") or n == space for n in normalizers)
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in data["added_tokens"]))
+    return (split.get("type") == "Split" and split["behavior"] == "Removed" and split["invert"] and split["pattern"] == {"Regex": PATTERN}
+            and [(r["type"], r["add_prefix_space"], r["use_regex"]) for r in rest] == [("ByteLevel", False, False)]
+            and normalizers == [{"type": "NFC"}, space, {"type": "Lowercase"}]
+            and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in data["added_tokens"]))
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str, end_id: int | None) -> Encoder:
-    return Encoder(path, end_id)
+    """Functions of this package travel by value, so what is to outlive a task is kept with the library's own module."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_encoders_of_id_planes", {})
+    if (path, end_id) not in held:
+        held[path, end_id] = Encoder(path, end_id)
+    return held[path, end_id]
 
 
 def to_planes(ids: np.ndarray, mode: bytes) -> list[bytes]:

@@ -104,11 +104,13 @@ def library():
 def test_encoder_equals_the_library():
     rng = random.Random(5)
     signs = "aBc É é ǅ ß İ ſ 1٣ ½ ́     　 \x1c \x85 ​ 漢字 👍🏽 'S 'll 're .,;<| |> <|endoftext|> <|startoftext|> \n \t Å ͅ".split(" ") + [" ", "\n", "  "]
-    texts = ["".join(rng.choice(signs) + rng.choice(["", " "]) for _ in range(rng.randint(0, 60))) for _ in range(400)] + [None, "", " "]
+    latin = list("abZ 19'.,!-_<|>\n\t\x0b\x0c\x00\x1b\x7f\x80\xa1\xab\xbf") + ["É", "é", "ß", "ÿ", "Ø", "×", "÷", "'s", "'LL", "'Re", "ª", "µ", "²", "\xa0", "\xad"]
+    texts = ["".join(rng.choice(latin) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    texts += ["".join(rng.choice(signs) + rng.choice(["", " "]) for _ in range(rng.randint(0, 60))) for _ in range(400)] + [None, "", " "]
     encoder = id_planes.Encoder(plans.vocabulary_path("word_bpe_49k.json"), None)
     for t, got in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(got, "<u4").tolist() == library().encode(t or "", add_special_tokens=False).ids, repr(t)
-    assert encoder.by_word and not id_planes.drops_white_space(plans.vocabulary_path("byte_bpe_50k.json"))
+    assert encoder.by_piece and not id_planes.cuts_by_pattern(plans.vocabulary_path("byte_bpe_50k.json"))
 
 
 @pytest.mark.parametrize("name, settings", [("word_bpe_49k.json", {}), ("word_bpe_49k.json", {"mode": "bit", "file_bytes": 20_000, "block": 500}), ("byte_bpe_50k.json", {})])
