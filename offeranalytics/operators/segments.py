@@ -2,7 +2,6 @@
 
 import math
 
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -12,6 +11,7 @@ from ..functions import ordered
 from ..functions.constants import GENDERS, PROFILE_METRICS, SEGMENT_NAMES
 from ..functions.scalars import column_stats
 from ..functions.scale import durable
+from . import kmeans
 
 
 def as_array(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
@@ -119,28 +119,31 @@ def silhouette_euclidean(points: DataFrame, key: str, label: str = "cluster", bl
     return ab.agg(F.avg(value).alias("silhouette"), F.count(F.lit(1)).alias("n"))
 
 
-def fit_kmeans(points: DataFrame, k: int, seeds=tuple(range(10)), max_iter: int = 300, tol: float = 0.01) -> KMeansModel:
-    """Best of several starts. ``points`` should be stored: every start reads it.
+def fit_kmeans(points: DataFrame, k: int, seeds=tuple(range(10)), max_iter: int = 300, tol: float = 0.01) -> kmeans.Fit:
+    """Best of several starts, all advanced in the same passes.
 
     A start ends when no centre moves by more than ``tol``, one hundredth of a standard deviation on scaled data.
     """
-    vectors = points.select(array_to_vector("features").alias("v"))
-    fits = [KMeans(k=k, seed=s, maxIter=max_iter, tol=tol, featuresCol="v").fit(vectors) for s in seeds]
-    return min(fits, key=lambda m: m.summary.trainingCost)
+    fits = kmeans.fit_many(points, [(kmeans.POINTS, k, s) for s in seeds], max_iter, tol)
+    return kmeans.best(fits)[kmeans.POINTS, k]
 
 
-def predict(model: KMeansModel, points: DataFrame, name: str = "cluster") -> DataFrame:
-    labelled = model.transform(points.withColumn("v", array_to_vector("features")))
-    return labelled.withColumnRenamed(model.getPredictionCol(), name).drop("v")
+def predict(model: kmeans.Fit, points: DataFrame, name: str = "cluster") -> DataFrame:
+    """``points`` with the number of the nearest centre (ties: the lowest)."""
+    found = F.array(*[F.struct(squared_distance("features", F.array(*[F.lit(float(x)) for x in c])).alias("d"), F.lit(i).alias("i"))
+                      for i, c in enumerate(model.centres)])
+    return points.withColumn(name, F.array_min(found)["i"])
 
 
-def centres(model: KMeansModel, spark) -> DataFrame:
-    return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centroid array<double>")
+def centres(model: kmeans.Fit, spark) -> DataFrame:
+    return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.centres)], "cluster int, centroid array<double>")
 
 
 def sweep(points: DataFrame, max_k: int = 15, seeds=tuple(range(10))) -> DataFrame:
-    """Quality of the best k-means labelling for each k from 2 to ``max_k``."""
-    return ordered.union_all([labelling_quality(predict(fit_kmeans(points, k, seeds), points)) for k in range(2, max_k + 1)])
+    """Quality of the best k-means labelling for each k from 2 to ``max_k``; all starts of all k share their passes."""
+    ks = range(2, max_k + 1)
+    found = kmeans.best(kmeans.fit_many(points, [(kmeans.POINTS, k, s) for k in ks for s in seeds]))
+    return ordered.union_all([labelling_quality(predict(found[kmeans.POINTS, k], points)) for k in ks])
 
 
 def elbow(curve: DataFrame) -> DataFrame:
@@ -160,24 +163,20 @@ def best_k(curve: DataFrame) -> DataFrame:
 
 
 def gap_statistic(points: DataFrame, max_k: int = 15, references: int = 10, seeds=tuple(range(10)), seed: int = 42) -> DataFrame:
-    """Gap of log WCSS against uniform reference tables of the same size and range, with its standard error."""
-    spark, rows = points.sparkSession, points.count()
-    box = points.select(F.posexplode("features").alias("i", "x")).groupBy("i").agg(F.min("x"), F.max("x")).orderBy("i").collect()
-
-    def reference(b: int) -> DataFrame:
-        # a hash of the row, column, replicate and seed: the same numbers however the rows are split, and none stored
-        uniform = lambda i: F.pmod(F.xxhash64("id", F.lit(i), F.lit(b), F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-        return spark.range(rows).select(F.array(*[low + uniform(i) * (high - low) for i, low, high in box]).alias("features"))
-
-    frames = [reference(b) for b in range(references)]
-    cost = lambda frame, k: math.log(fit_kmeans(frame, k, seeds).summary.trainingCost)
-    found = []
-    for k in range(2, max_k + 1):
-        logs = [cost(f, k) for f in frames]
+    """Gap of log WCSS against uniform reference tables of the same size and range, with its standard error.
+
+    All models of all tables advance in the same passes; reference rows are drawn where they are used.
+    """
+    ks = range(2, max_k + 1)
+    wanted = [(t, k, s) for t in (kmeans.POINTS, *range(references)) for k in ks for s in seeds]
+    found = kmeans.best(kmeans.fit_many(points, wanted, seed=seed))
+    rows = []
+    for k in ks:
+        logs = [math.log(found[b, k].cost) for b in range(references)]
         mean = sum(logs) / len(logs)
         deviation = math.sqrt(sum((v - mean) ** 2 for v in logs) / len(logs))
-        found.append((k, mean - cost(points, k), math.sqrt(1 + 1 / len(logs)) * deviation))
-    return spark.createDataFrame(found, "k int, gap double, standard_error double")
+        rows.append((k, mean - math.log(found[kmeans.POINTS, k].cost), math.sqrt(1 + 1 / len(logs)) * deviation))
+    return points.sparkSession.createDataFrame(rows, "k int, gap double, standard_error double")
 
 
 def gap_choice(gaps: DataFrame) -> DataFrame:
@@ -212,9 +211,10 @@ def adjusted_rand(labels: DataFrame, columns: list[str]) -> DataFrame:
 
 def stability(points: DataFrame, key: str, k: int, seeds=(42, 123, 456, 789, 2024), starts: int = 10) -> DataFrame:
     """Agreement of k-means labellings from different seeds, with a verdict."""
+    fits = kmeans.fit_many(points, [(kmeans.POINTS, k, s + i) for s in seeds for i in range(starts)])
     labels = points
-    for s in seeds:
-        labels = predict(fit_kmeans(points, k, tuple(s + i for i in range(starts))), labels, f"seed_{s}")
+    for n, s in enumerate(seeds):
+        labels = predict(kmeans.best(fits[n * starts:(n + 1) * starts])[kmeans.POINTS, k], labels, f"seed_{s}")
     return stability_summary(adjusted_rand(labels, [f"seed_{s}" for s in seeds]))
 
 
