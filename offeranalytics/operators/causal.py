@@ -157,31 +157,47 @@ def _positions(units: DataFrame) -> DataFrame:
 
 
 def match_without_replacement(units: DataFrame, caliper: float = 0.2) -> DataFrame:
-    """One-to-one matching by score in a fixed number of steps; each unit is used once.
+    """One-to-one matching by score in four steps; each unit is used once, and no unmatched treated unit has an unmatched
+    control nearer than ``caliper`` at the end.
 
-    Units of equal score match first, in md5 order of the id. Those left stand in score order like brackets: a treated
-    unit goes up one level, a control down one, and units that cross the same level one after the other are partners.
-    Pairs outside the caliper are dropped. This is the definition of the matching, in place of a row order.
+    Units of equal score match first, in md5 order of the id. Then those in one cell of the width of the caliper match,
+    lowest with lowest. What is left of a cell is of one arm; it meets what is left of the next cell, nearest with nearest and
+    as long as the distance allows, first across the upper ends of even cells, then across those of odd ones.
+    Units without a score stay unmatched.
     """
-    numbered = _positions(units)
-    counts = durable(units.groupBy("score").agg(F.count_if(F.col("treated") == 1).alias("t"), F.count_if(F.col("treated") == 0).alias("c"))
-                     .select("score", F.least("t", "c").alias("both"), (F.col("t") - F.col("c")).alias("net")))
-    levels = ordered.prefix_sums(counts, "score", {"level": "net"})
-    placed = durable(numbered.join(small_side(levels), "score").withColumn("rest", F.col("position") - F.col("both") - 1))
-    step = F.when(F.col("treated") == 1, F.col("level") + F.col("rest")).otherwise(F.col("level") - F.col("rest") - 1)
-    crossings = durable(placed.filter("rest >= 0").select("id", "treated", "score", step.alias("step"), F.lit(1).alias("one")))
-    ranked = ordered.prefix_sums(crossings, "score", {"rank": "one"}, by=["step", "treated"])
-    equal = placed.filter("rest < 0").select("id", "treated", "score", F.lit(None).cast("long").alias("step"), F.col("position").alias("rank"))
-    every = equal.withColumn("at", F.col("score")).unionByName(ranked.select("id", "treated", "score", "step", "rank").withColumn("at", F.lit(None).cast("double")))
-
-    def side(flag: int, prefix: str) -> DataFrame:
-        return every.filter(F.col("treated") == flag).select(F.col("id").alias(f"{prefix}_id"), F.col("score").alias(f"{prefix}_score"), *[
-            F.col(c).alias(f"{prefix}_{c}") for c in ("at", "step", "rank")])
-
-    same = [F.col(f"t_{c}").eqNullSafe(F.col(f"c_{c}")) for c in ("at", "step", "rank")]
-    distance = F.abs(F.col("t_score") - F.col("c_score"))
-    return side(1, "t").join(side(0, "c"), same).filter(distance < caliper).select(
-        F.col("t_id").alias("treated_id"), F.col("c_id").alias("control_id"), distance.alias("distance"))
+    if caliper <= 0:
+        raise ValueError("the caliper must be positive")
+    units = units.where("score is not null")
+    counts = units.groupBy("score").agg(F.count_if(F.col("treated") == 1).alias("t"), F.count_if(F.col("treated") == 0).alias("c"))
+    cell = F.floor(F.col("score") / caliper)
+    left = lambda a, b: F.greatest(F.col(a) - F.col(b), F.lit(0))
+    counts = durable(counts.select("score", cell.alias("cell"), F.least("t", "c").alias("both"), left("t", "c").alias("rest_1"), left("c", "t").alias("rest_0")))
+    cells = counts.groupBy("cell").agg(F.sum("rest_1").alias("all_1"), F.sum("rest_0").alias("all_0"))
+    levels = ordered.prefix_sums(counts, "score", {"before_1": "rest_1", "before_0": "rest_0"}, by=["cell"])
+    levels = durable(levels.join(small_side(cells), "cell").withColumn("paired", F.least("all_1", "all_0")))
+    mine = lambda name: F.when(F.col("treated") == 1, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
+    place = F.when(F.col("position") > F.col("both"), mine("before") + F.col("position") - F.col("both"))
+    placed = durable(_positions(units).join(small_side(levels), "score").select(
+        "id", "treated", "score", "cell", "position", place.alias("place"), (place - F.col("paired")).alias("above"), (mine("all") - F.col("paired")).alias("size")))
+
+    def pairs(rows: DataFrame, key: list[str]) -> DataFrame:
+        side = lambda flag, arm: rows.where(F.col("treated") == flag).select(*key, F.col("id").alias(f"{arm}_id"), F.col("score").alias(f"{arm}_score"))
+        distance = F.abs(F.col("treated_score") - F.col("control_score"))
+        return side(1, "treated").join(side(0, "control"), key).withColumn("distance", distance).where(F.col("distance") < caliper)
+
+    found = ["treated_id", "control_id", "distance"]
+    equal = pairs(placed.where("place is null").withColumn("at", F.col("score")), ["at", "position"]).select(*found)
+    inside = pairs(placed.where("above <= 0"), ["cell", "place"]).select(*found)
+    # the number of a unit from either end of what its cell has left
+    rest = placed.where("above > 0").select("id", "treated", "score", "cell", F.col("above").alias("up"), (F.col("size") - F.col("above") + 1).alias("down"))
+    even = F.pmod(F.col("cell"), F.lit(2)) == 0
+    first = rest.select("*", F.when(even, F.col("cell")).otherwise(F.col("cell") - 1).alias("border"), F.when(even, F.col("down")).otherwise(F.col("up")).alias("turn"))
+    crossed = durable(pairs(first, ["border", "turn"]))
+    used = crossed.groupBy("border").agg(F.count(F.lit(1)).alias("used"))
+    still = first.join(small_side(used), "border", "left").where(F.col("turn") > F.coalesce("used", F.lit(0)))
+    second = still.select("id", "treated", "score", F.when(even, F.col("cell") - 1).otherwise(F.col("cell")).alias("border"),
+                          F.when(even, F.col("up")).otherwise(F.col("down")).alias("turn"))
+    return ordered.union_all([equal, inside, crossed.select(*found), pairs(second, ["border", "turn"]).select(*found)])
 
 
 def mean_spend(events: DataFrame) -> DataFrame:

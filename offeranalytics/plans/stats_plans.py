@@ -359,13 +359,20 @@ def propensity(d: Inputs):
 
 PAIRS_ONCE = f"""
 SELECT treated_id, control_id, distance FROM (
-WITH u AS (SELECT id, treated, score, row_number() OVER (PARTITION BY score, treated ORDER BY md5(id)) p FROM ({POPULATION})),
-n AS (SELECT score, least(count(*) FILTER (treated = 1), count(*) FILTER (treated = 0)) b, count(*) FILTER (treated = 1) - count(*) FILTER (treated = 0) net FROM u GROUP BY score),
-l AS (SELECT score, b, coalesce(sum(net) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) level FROM n),
-x AS (SELECT id, treated, score, p, CASE WHEN p > b THEN CASE treated WHEN 1 THEN level + p - b - 1 ELSE level - p + b END END step FROM u JOIN l USING (score)),
-r AS (SELECT *, CASE WHEN step IS NULL THEN score END tie, CASE WHEN step IS NULL THEN p ELSE row_number() OVER (PARTITION BY step, treated ORDER BY score) END k FROM x)
-SELECT t.id treated_id, c.id control_id, abs(t.score - c.score) distance FROM r t JOIN r c
-ON t.k = c.k AND t.step IS NOT DISTINCT FROM c.step AND t.tie IS NOT DISTINCT FROM c.tie WHERE t.treated = 1 AND c.treated = 0) WHERE distance < 0.2"""
+WITH u AS (SELECT id, treated, score, floor(score / 0.2) cell, row_number() OVER (PARTITION BY score, treated ORDER BY md5(id)) p FROM ({POPULATION}) WHERE score IS NOT NULL),
+b AS (SELECT *, least(count(*) FILTER (treated = 1) OVER (PARTITION BY score), count(*) FILTER (treated = 0) OVER (PARTITION BY score)) both_arms FROM u),
+q AS (SELECT *, CASE WHEN p > both_arms THEN row_number() OVER (PARTITION BY cell, treated, p > both_arms ORDER BY score, p) END place FROM b),
+m AS (SELECT *, count(place) FILTER (treated = 1) OVER (PARTITION BY cell) n1, count(place) FILTER (treated = 0) OVER (PARTITION BY cell) n0 FROM q),
+r AS (SELECT id, treated, score, cell, place - least(n1, n0) up, abs(n1 - n0) - (place - least(n1, n0)) + 1 down FROM m WHERE place > least(n1, n0)),
+f AS (SELECT *, CASE WHEN cell % 2 = 0 THEN cell ELSE cell - 1 END border, CASE WHEN cell % 2 = 0 THEN down ELSE up END turn FROM r),
+x AS (SELECT border, t.id treated_id, c.id control_id, abs(t.score - c.score) distance FROM f t JOIN f c USING (border, turn)
+      WHERE t.treated = 1 AND c.treated = 0 AND abs(t.score - c.score) < 0.2),
+g AS (SELECT id, treated, score, CASE WHEN cell % 2 = 0 THEN cell - 1 ELSE cell END border, CASE WHEN cell % 2 = 0 THEN up ELSE down END turn
+      FROM f WHERE turn > (SELECT count(*) FROM x WHERE x.border = f.border))
+SELECT t.id treated_id, c.id control_id, abs(t.score - c.score) distance FROM m t JOIN m c USING (score, p) WHERE t.treated = 1 AND c.treated = 0 AND t.place IS NULL AND c.place IS NULL
+UNION ALL SELECT t.id, c.id, abs(t.score - c.score) FROM m t JOIN m c USING (cell, place) WHERE t.treated = 1 AND c.treated = 0
+UNION ALL SELECT treated_id, control_id, distance FROM x
+UNION ALL SELECT t.id, c.id, abs(t.score - c.score) FROM g t JOIN g c USING (border, turn) WHERE t.treated = 1 AND c.treated = 0) WHERE distance < 0.2"""
 
 
 @query("c06_match_without_replacement", PAIRS_ONCE, doubles="distance")

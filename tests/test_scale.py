@@ -109,36 +109,55 @@ def test_matching_with_replacement(spark, many_ranges):
             assert (i in got) == (d < 0.05) and (i not in got or (got[i]["control_id"], got[i]["distance"]) == (ci, pytest.approx(d)))
 
 
-def brackets(data, caliper):
-    """Pairs of equal score first; the others in score order, each closing the open unit of the other arm at its level."""
-    import hashlib
-    at = {}
-    for i, t, s in data:
-        at.setdefault(s, ([], []))[t].append(i)
-    pairs, rest = [], []
-    for s, arms in sorted(at.items()):
-        c, t = (sorted(a, key=lambda i: hashlib.md5(i.encode()).hexdigest()) for a in arms)
-        both = min(len(c), len(t))
-        pairs += [(x, y, 0.0) for x, y in zip(t, c)]
-        rest += [(s, i, 1) for i in t[both:]] + [(s, i, 0) for i in c[both:]]
-    level, crossed = 0, {}
-    for s, i, t in rest:
-        step = level if t else level - 1
-        level += 1 if t else -1
-        crossed.setdefault(step, []).append((s, i, t))
-    for units in crossed.values():
-        for (s, i, t), (z, j, u) in zip(units[::2], units[1::2]):
-            assert t != u
-            if abs(s - z) < caliper:
-                pairs.append((i, j, abs(s - z)) if t else (j, i, abs(s - z)))
-    return sorted((a, b, round(d, 9)) for a, b, d in pairs)
-
-
-@pytest.mark.parametrize("seed", [5, 6])
-def test_matching_without_replacement(spark, many_ranges, seed):
-    data = units(seed=seed)
-    pairs = causal.match_without_replacement(spark.createDataFrame(data, "id string, treated int, score double"), 0.1).collect()
-    assert sorted((p["treated_id"], p["control_id"], round(p["distance"], 9)) for p in pairs) == brackets(data, 0.1)
+def most_pairs(data, caliper):
+    """The largest possible number of pairs: on a line, giving each unit the lowest partner still free is best."""
+    t, c = (sorted(s for _, arm, s in data if arm == flag) for flag in (1, 0))
+    i = j = n = 0
+    while i < len(t) and j < len(c):
+        if abs(t[i] - c[j]) < caliper:
+            i, j, n = i + 1, j + 1, n + 1
+        elif t[i] < c[j]:
+            i += 1
+        else:
+            j += 1
+    return n
+
+
+def check_matching(data, pairs, caliper):
+    """Each unit once, distances below the caliper, nobody left who has a free partner inside it."""
+    import bisect
+
+    score, arm = {i: s for i, _, s in data}, {i: t for i, t, _ in data}
+    used = [p["treated_id"] for p in pairs] + [p["control_id"] for p in pairs]
+    assert len(used) == len(set(used))
+    for p in pairs:
+        assert arm[p["treated_id"]] == 1 and arm[p["control_id"]] == 0
+        assert p["distance"] == pytest.approx(abs(score[p["treated_id"]] - score[p["control_id"]])) and p["distance"] < caliper
+    free = sorted(score[i] for i in set(score) - set(used) if arm[i] == 0)
+    for i in set(score) - set(used):
+        if arm[i] == 1:
+            at = bisect.bisect_left(free, score[i])
+            assert all(abs(score[i] - s) >= caliper for s in free[max(0, at - 1):at + 1])
+    most = most_pairs(data, caliper)
+    assert most / 2 <= len(pairs) <= most
+    return len(pairs)
+
+
+def match(spark, data, caliper):
+    return causal.match_without_replacement(spark.createDataFrame(data, "id string, treated int, score double"), caliper).collect()
+
+
+@pytest.mark.parametrize("seed, caliper", [(5, 0.1), (6, 0.013), (7, 0.03)])
+def test_matching_without_replacement(spark, many_ranges, seed, caliper):
+    data = units(200, seed, 3)
+    check_matching(data, match(spark, data, caliper), caliper)
+
+
+def test_no_partner_inside_the_caliper_is_lost(spark):
+    assert len(match(spark, [("a", 0, 0.0), ("b", 0, 0.55), ("t", 1, 0.5)], 0.2)) == 1
+    data = [(f"a{i}", 0, 0.0) for i in range(1000)] + [(f"t{i}", 1, 0.5) for i in range(100)] + [(f"b{i}", 0, 0.55) for i in range(100)]
+    assert len(match(spark, data, 0.2)) == 100
+    assert match(spark, [("a", 1, None), ("b", 0, None), ("c", 1, 0.1)], 0.2) == []
 
 
 @pytest.mark.parametrize("arms", ["separated", "alternating", "tied"])
@@ -149,9 +168,9 @@ def test_matching_ten_thousand_units_takes_few_jobs(spark, arms):
     at = {"separated": lambda i: 0.3 * i / n + (0.31 if i % 2 else 0.0), "alternating": lambda i: i / n, "tied": lambda i: round(i % 7 / 10, 1)}[arms]
     data = [(f"u{i}", i % 2, at(i)) for i in range(n)]
     started = time.time()
-    pairs = causal.match_without_replacement(spark.createDataFrame(data, "id string, treated int, score double"), 0.7).collect()
+    pairs = match(spark, data, 0.7)
     assert time.time() - started < 120
-    assert sorted((p["treated_id"], p["control_id"], round(p["distance"], 9)) for p in pairs) == brackets(data, 0.7)
+    check_matching(data, pairs, 0.7)
 
 
 def test_silhouettes_match_brute_force(spark):
