@@ -55,14 +55,15 @@ FROM words_of LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Here a source owns its documents, and every document is a repository. Owners alone decide, as the SQL says."""
+    """Here a source owns its documents, and every document is a repository. Owners and repositories both decide."""
     from .secrets import digest, scan_secrets
 
-    return digest(scan_secrets(table(spark, sf_dir, "documents"), copied_repos=None))
+    return digest(scan_secrets(table(spark, sf_dir, "documents")))
 
 
 OP3_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents),
+-- a value that 3 owners or 10 repositories hold is copied; live is one that a single owner holds in fewer repositories
 pieces AS (
   SELECT doc_id, owner, 0 AS k, 'assign' AS kind, f AS found, regexp_split_to_array(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS gaps
   FROM (SELECT *, regexp_extract_all(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS f FROM d) WHERE len(f) > 0
@@ -76,8 +77,8 @@ kept AS (SELECT doc_id, owner, k, kind, e - length(m) AS s, e, v FROM placed
          WHERE CASE k WHEN 0 THEN length(v) >= 6 WHEN 1 THEN length(m) >= 20 WHEN 2 THEN length(m) >= 24
                ELSE length(m) >= 20 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') END),
 apart AS (SELECT * FROM kept a WHERE k < 3 OR NOT EXISTS (SELECT 1 FROM kept b WHERE b.doc_id = a.doc_id AND b.k < 3 AND b.s < a.e AND a.s < b.e)),
-facts AS (SELECT v, count(DISTINCT owner) AS owners FROM apart GROUP BY v),
-judged AS (SELECT apart.*, CASE WHEN owners >= 3 THEN 'copied' WHEN owners = 1 AND length(v) >= 16 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+facts AS (SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, coalesce(CAST(doc_id AS VARCHAR), ''))) AS repos FROM apart GROUP BY v),
+judged AS (SELECT apart.*, CASE WHEN owners >= 3 OR repos >= 10 THEN 'copied' WHEN owners = 1 AND length(v) >= 16 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
            THEN 'live' ELSE 'unsure' END AS state FROM apart JOIN facts USING (v)),
 spans AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
                  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3) AS base,
