@@ -1,6 +1,7 @@
 """Building blocks that keep jobs safe at any size: durable cuts, measured broadcasts, hot-key splitting."""
 
 import math
+import uuid
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -24,6 +25,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True) if spark.sparkContext.getCheckpointDir() else df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def scratch(spark, name: str) -> str:
+    """A new folder name for files of one query: in the shared checkpoint folder where one is named, else in the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}_{uuid.uuid4().hex}"
+
+
+def remove(spark, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if a count shows it fits; otherwise leave it to a shuffle join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -294,15 +294,22 @@ def label_distribution(d: Inputs):
     return ft.pair_label_counts(d.profile, d.portfolio, d.events)
 
 
-@query("a27_feature_summary", """
+@query("a27_feature_summary", f"""
 SELECT 'offer_features' table_name, count(*) n_rows, 11 n_features FROM portfolio UNION ALL
-SELECT 'demographic_features', count(*), 18 FROM profile UNION ALL SELECT 'channel_customer_features', count(*), 1 FROM channels_used""")
+SELECT 'demographic_features', count(*), 18 FROM profile UNION ALL SELECT 'behavioural_features', count(*), 25 FROM profile UNION ALL
+SELECT 'rfm_features', count(*), 7 FROM profile UNION ALL SELECT 'time_decay_features', count(*), 4 FROM profile UNION ALL
+SELECT 'customer_features', count(*), 54 FROM profile UNION ALL SELECT 'interaction_features', count(*), 74 FROM ({LABELS}) UNION ALL
+SELECT 'channel_customer_features', count(*), 1 FROM channels_used""")
 def feature_summary(d: Inputs):
+    people = ["id"]
     return ft.feature_summary(
         {"offer_features": ft.offer_features(d.portfolio), "demographic_features": ft.demographic_features(d.profile),
-         "channel_customer_features": ft.channels_used(d.events, d.portfolio)},
-        {"offer_features": ["id", "offer_type", "difficulty", "reward", "duration"], "demographic_features": ["id"],
-         "channel_customer_features": ["id"]})
+         "behavioural_features": ft.behavioural_features(d.profile, d.events, d.portfolio), "rfm_features": ft.rfm_features(d.profile, d.events, d.portfolio),
+         "time_decay_features": ft.time_decay_features(d.profile, d.events, d.portfolio), "customer_features": d.features,
+         "interaction_features": ft.interaction_features(d.features, d.events, d.portfolio), "channel_customer_features": ft.channels_used(d.events, d.portfolio)},
+        {"offer_features": ["id", "offer_type", "difficulty", "reward", "duration"], "demographic_features": people, "behavioural_features": people,
+         "rfm_features": people, "time_decay_features": people, "customer_features": people, "channel_customer_features": people,
+         "interaction_features": ["customer_id", "offer_id", "completed"]})
 
 
 @query("f01_standardise", """

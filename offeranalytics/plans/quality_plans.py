@@ -1,37 +1,26 @@
 """Scans and data quality over the test tables."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions.constants import AGE_SENTINEL, EVENTS, OFFER_TYPES
+from ..functions.scale import remove, scratch
 from ..operators import quality as q
 from ..sources.readers import read_json, read_json_lines, read_table
-from ..sources.writers import export_manifest, write_table
+from ..sources.writers import write_table
 from .registry import Inputs, query
 
 
-@query("s10_export_manifest", """
-SELECT 'portfolio' dataset, count(*) n_rows, 6 n_columns FROM portfolio UNION ALL
-SELECT 'profile', count(*), 5 FROM profile UNION ALL
-SELECT 'events', count(*), 5 FROM ev""")
-def manifest(d: Inputs):
-    return export_manifest({"portfolio": d.portfolio, "profile": d.profile, "events": d.events})
-
-
 def _stored(d: Inputs, name: str, write):
-    """Count and sums of what ``write`` (given a path in the shared warehouse folder) reads back; the files go again."""
-    spark = d.spark
-    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/round_trip_{name}_{uuid.uuid4().hex}"
-    back = write(path)
-    result = spark.createDataFrame(back.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("person").alias("n_persons"), F.count_distinct("person").alias("n_distinct"),
-        F.sum(F.col("time").cast("long")).alias("sum_time"), F.count("value_amount").alias("n_amounts"),
-        F.sum(F.col("value_amount").cast("decimal(18,2)")).cast("double").alias("sum_amount")).collect(),
-        "n_rows long, n_persons long, n_distinct long, sum_time long, n_amounts long, sum_amount double")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    return result
+    """Count and sums of what ``write`` (given a path in the shared folder) reads back; the files go again."""
+    path = scratch(d.spark, name)
+    try:
+        return d.spark.createDataFrame(write(path).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count("person").alias("n_persons"), F.count_distinct("person").alias("n_distinct"),
+            F.sum(F.col("time").cast("long")).alias("sum_time"), F.count("value_amount").alias("n_amounts"),
+            F.sum(F.col("value_amount").cast("decimal(18,2)")).cast("double").alias("sum_amount")).collect(),
+            "n_rows long, n_persons long, n_distinct long, sum_time long, n_amounts long, sum_amount double")
+    finally:
+        remove(d.spark, path)
 
 
 STORED = """
@@ -55,9 +44,27 @@ def json_lines_round_trip(d: Inputs):
     return _stored(d, "json", lambda path: read_json_lines(d.spark, write_table(d.transcript, path, "json"), FLAT))
 
 
-@query("s01_json_with_rejects", STORED, coarse="sum_amount")
+@query("s01_json_with_rejects", """
+SELECT 'lines' layout, count(*) n_rows, count(*) FILTER (time % 7 = 3) n_rejects, count(DISTINCT person) n_keys, CAST(sum(time) AS BIGINT) total FROM transcript
+UNION ALL SELECT 'array', count(*), 1, count(DISTINCT id), CAST(sum(reward) AS BIGINT) FROM portfolio""")
 def json_with_rejects(d: Inputs):
-    return _stored(d, "lines", lambda path: read_json(d.spark, write_table(d.transcript, path, "json"), FLAT)[0])
+    """All events as lines, every row of some hours also cut off; the catalogue as one array with a broken element."""
+    lines, array = scratch(d.spark, "lines"), scratch(d.spark, "array")
+    try:
+        line = F.to_json(F.struct(*d.transcript.columns))
+        copies = F.when(F.col("time") % 7 == 3, F.array(line, F.expr("left(line, length(line) - 1)"))).otherwise(F.array(line))
+        d.transcript.withColumn("line", line).select(F.explode(copies).alias("value")).write.text(lines)
+        elements = F.concat(F.array_sort(F.collect_list(F.to_json(F.struct("id", "reward")))), F.array(F.lit('{"id": "x", "reward": }')))
+        d.portfolio.agg(F.concat(F.lit("[\n"), F.array_join(elements, ",\n"), F.lit("\n]")).alias("value")).write.text(array)
+        found = []
+        for layout, path, schema, key, value in (("lines", lines, FLAT, "person", "time"), ("array", array, "id string, reward int", "id", "reward")):
+            good, bad = read_json(d.spark, path, schema)
+            sums = good.agg(F.count(F.lit(1)), F.count_distinct(key), F.sum(F.col(value).cast("long"))).first()
+            found.append((layout, sums[0], bad.count(), sums[1], sums[2]))
+    finally:
+        remove(d.spark, lines)
+        remove(d.spark, array)
+    return d.spark.createDataFrame(found, "layout string, n_rows bigint, n_rejects bigint, n_keys bigint, total bigint")
 
 
 @query("q02_shape_and_types", """

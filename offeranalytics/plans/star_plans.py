@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import clean_age, is_transaction
 from ..operators import causal as c, charts, features as ft, funnel as f, segments as sg, star, targeting as tg
-from ..functions.scale import durable
+from ..functions.scale import durable, remove, scratch
+from ..sources.readers import read_table
+from ..sources.writers import export_tables
 from .registry import Inputs, query
 from .segment_plans import PROFILES
 from .stats_plans import PAID
@@ -359,6 +361,7 @@ def box_plot(d: Inputs):
 
 
 def _exports(d: Inputs):
+    d.features = durable(d.features)  # most tables are built from them
     profiles = sg.cluster_profiles(durable(_segment_features(d).join(d.clusters, "id")), list(LONG))
     return star.export_tables(d.portfolio, d.events, d.features, d.clusters, d.rules, profiles, _effects(d), _lift(d), _by_type(d))
 
@@ -371,8 +374,29 @@ EXPORTS = {
     "fact_kpi_metrics": (f"({KPIS})", 4)}
 
 
+INPUTS = {"portfolio": ("portfolio", 6), "profile": ("profile", 5), "events": ("ev", 5)}
+
+
 @query("s09_export_row_counts", " UNION ALL ".join(
     f"SELECT '{name}' dataset, count(*) n_rows, CAST({columns} AS INT) n_columns FROM {rows}" for name, (rows, columns) in EXPORTS.items()))
 def export_counts(d: Inputs):
-    from ..sources.writers import export_manifest
-    return export_manifest(_exports(d))
+    """Rows and columns as observed while all tables are written."""
+    path = scratch(d.spark, "export")
+    try:
+        return export_tables(_exports(d), path)
+    finally:
+        remove(d.spark, path)
+
+
+@query("s10_export_manifest", " UNION ALL ".join(
+    f"SELECT '{name}' dataset, count(*) n_rows, CAST({columns} AS INT) n_columns, count(*) n_read, CAST({columns} AS INT) columns_read FROM {rows}"
+    for name, (rows, columns) in {**EXPORTS, **INPUTS}.items()))
+def manifest(d: Inputs):
+    """The manifest of all exported and input tables beside what is read back."""
+    path, tables = scratch(d.spark, "export"), {**_exports(d), "portfolio": d.portfolio, "profile": d.profile, "events": d.events}
+    try:
+        written = export_tables(tables, path)
+        back = [(name, (df := read_table(d.spark, f"{path}/{name}")).count(), len(df.columns)) for name in tables]
+    finally:
+        remove(d.spark, path)
+    return written.join(F.broadcast(d.spark.createDataFrame(back, "dataset string, n_read bigint, columns_read int")), "dataset")

@@ -1,9 +1,12 @@
 """Sinks: feature, segment, model and BI tables, metric reports, fitted models."""
 
+import uuid
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions.ordered import union_all
+from ..functions.scale import remove
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
@@ -68,6 +71,31 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def export_tables(tables: dict[str, DataFrame], base: str, fmt: str = "parquet") -> DataFrame:
+    """Write all tables under ``base`` or, if one fails, none: (dataset, n_rows, n_columns) as observed while writing.
+
+    Tables go to a staging folder beside ``base``, which takes its place when the last one is written; an earlier
+    export stays until then. No table is read or computed a second time for its numbers.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    staging, found = f"{base.rstrip('/')}.staging-{uuid.uuid4().hex}", []
+    try:
+        for name, df in tables.items():
+            seen = Observation()
+            write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), f"{staging}/{name}", fmt)
+            found.append((name, seen.get["n"], len(df.columns)))
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        files, old = path(base).getFileSystem(spark._jsc.hadoopConfiguration()), f"{staging}.old"
+        if files.exists(path(base)):
+            files.rename(path(base), path(old))
+        if not files.rename(path(staging), path(base)):
+            raise OSError(f"{base} could not be put in place")
+        remove(spark, old)
+    finally:
+        remove(spark, staging)
+    return spark.createDataFrame(found, "dataset string, n_rows bigint, n_columns int")
+
+
 def export_manifest(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns of each exported table."""
     return union_all([

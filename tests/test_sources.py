@@ -83,3 +83,17 @@ def test_model_round_trip(spark, tmp_path):
     table = df.select(F.lit("m").alias("model"))
     path = writers.save_models(table, table, model, str(tmp_path))["model"]
     assert writers.load_model(path).transform(df).first()["v"].toArray().tolist() == [1.0, 2.0]
+
+
+def test_export_is_whole_or_absent(spark, tmp_path):
+    """Numbers come from the writes; a table that fails leaves the earlier export as it was."""
+    base = str(tmp_path / "export")
+    one, two = spark.range(5).withColumn("x", F.lit("a")), spark.range(3)
+    assert sorted(tuple(r) for r in writers.export_tables({"one": one, "two": two}, base).collect()) == [("one", 5, 2), ("two", 3, 1)]
+    assert readers.read_table(spark, f"{base}/one").count() == 5
+    broken = spark.range(2).select(F.raise_error(F.lit("broken")).alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        writers.export_tables({"one": spark.range(9), "two": broken}, base)
+    assert readers.read_table(spark, f"{base}/one").count() == 5
+    assert tuple(writers.export_tables({"one": spark.range(9)}, base).first()) == ("one", 9, 1)
+    assert readers.read_table(spark, f"{base}/one").count() == 9 and [p.name for p in tmp_path.iterdir() if "staging" in p.name] == []
