@@ -16,10 +16,9 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBED = 8
 PAD = 256
-#: The bound of the training sample: texts a language, windows a text, and languages (the most frequent ones).
+#: The bound of the training sample: texts a language and windows a text. All languages are learned.
 TEXTS_PER_LANGUAGE = 400
 WINDOWS_PER_TEXT = 3
-MAX_LANGUAGES = 400
 BLOCK = 512
 
 
@@ -170,7 +169,7 @@ def training_windows(docs: DataFrame, lang_col: str, text_col: str, id_col: str)
     over each whole text. Only the windows reach the driver."""
     rows = docs.where(F.col(lang_col).isNotNull() & (F.length(F.coalesce(text_col, F.lit(""))) > 0)).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("string").alias("id"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(counts)
     if not languages:
         return [], np.zeros((0, WINDOW), np.int16), np.zeros(0, np.int64)
