@@ -1,5 +1,8 @@
 """Completion models on Spark ML and exact evaluation from (label, score) tables."""
 
+from itertools import product
+
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -11,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import ordered
 from ..functions.scalars import column_stats, safe_ratio
 from ..functions.scale import durable
+from . import boosting as boosting_engine
+from .boosting import Setting
 from .features import stratified_folds, stratified_numbers
 
 
@@ -169,13 +174,40 @@ def cross_validate(estimator, train: DataFrame, columns: list[str], label: str,
     return train.sparkSession.createDataFrame(rows, "parameters string, cv_auc_mean double, cv_auc_std double"), fitted
 
 
-# The search grid of the boosted model; columns are sampled per node, not per tree
-BOOSTING_GRID = {"maxIter": [100, 200], "maxDepth": [4, 6, 8], "stepSize": [0.01, 0.1], "subsamplingRate": [0.8, 1.0],
-                 "featureSubsetStrategy": ["0.8", "all"]}
+# The search grid of the boosted model
+BOOSTING_GRID = {"trees": [100, 200], "depth": [4, 6, 8], "rate": [0.01, 0.1], "rows": [0.8, 1.0], "columns": [0.8, 1.0]}
+
 
+def cross_validate_boosting(points: dict[str, Setting], train: DataFrame, columns: list[str], label: str, key: str, folds: int = 5,
+                            weight: str | None = None) -> DataFrame:
+    """Stratified k-fold AUC of boosted models, all points and folds grown in the same passes.
 
-def tune_boosting(train: DataFrame, columns: list[str], label: str, key: str, folds: int = 3, grid: dict | None = None):
-    return cross_validate(boosting(), train, columns, label, key, folds, grid or BOOSTING_GRID)
+    Points that differ in their number of trees only are one fit, scored on the way. A fold of one class has no AUC and is left
+    out of the mean, as is a point without any.
+    """
+    folded = stratified_folds(train, label, key, folds)
+    longest: dict[Setting, int] = {}
+    for p in points.values():
+        alike = p._replace(trees=0)
+        longest[alike] = max(p.trees, longest.get(alike, 0))
+    fits = [alike._replace(trees=n, fold=f) for alike, n in longest.items() for f in range(folds)]
+    stages = {p.trees for p in points.values()}
+    measure = lambda scored: roc_auc(score_counts(scored, ["model", "trees"]), ["model", "trees"])
+    found = boosting_engine.fit_many(folded, columns, label, key, fits, stages, "fold", weight, measure)[2]
+    areas: dict[Setting, list[float]] = {}
+    for r in found:
+        if r["auc_roc"] is not None:
+            areas.setdefault(fits[r["model"]]._replace(trees=r["trees"], fold=-1), []).append(r["auc_roc"])
+    rows = [(name, float(np.mean(a)), float(np.std(a))) for name, p in points.items() if (a := areas.get(p._replace(fold=-1)))]
+    return train.sparkSession.createDataFrame(rows, "parameters string, cv_auc_mean double, cv_auc_std double")
+
+
+def tune_boosting(train: DataFrame, columns: list[str], label: str, key: str, folds: int = 3, grid: dict | None = None) -> DataFrame:
+    """Cross-validated AUC of every point of a grid over the fields of ``Setting``."""
+    grid = grid or BOOSTING_GRID
+    chosen = [dict(zip(sorted(grid), values)) for values in product(*(grid[n] for n in sorted(grid)))]
+    points = {", ".join(f"{n}={v}" for n, v in c.items()): Setting(**c) for c in chosen}
+    return cross_validate_boosting(points, train, columns, label, key, folds)
 
 
 def importances(model: PipelineModel, columns: list[str], spark) -> DataFrame:

@@ -36,7 +36,7 @@ def test_cross_validation_and_grid(split):
     table, _ = md.cross_validate(md.logistic(maxIter=20), split[0], COLUMNS, "y", "key", folds=3, grid={"regParam": [0.0, 0.5]})
     rows = table.collect()
     assert len(rows) == 2 and all(r["cv_auc_mean"] > 0.8 for r in rows)
-    tuned, _ = md.tune_boosting(split[0], COLUMNS, "y", "key", folds=2, grid={"maxIter": [2], "maxDepth": [2, 3]})
+    tuned = md.tune_boosting(split[0], COLUMNS, "y", "key", folds=2, grid={"trees": [2], "depth": [2, 3]})
     assert tuned.count() == 2
 
 

@@ -28,14 +28,19 @@ def test_model_queries_run_in_full(spark, monkeypatch):
     monkeypatch.setattr(model_plans, "_fitted", lambda d, name: None)
     table = spark.range(1).selectExpr("'default' parameters", "0.5D cv_auc_mean", "0.1D cv_auc_std")
     calls = caught(monkeypatch, md, "cross_validate", (table, None))
-    assert {r.model for r in model_plans.cross_validation(None).collect()} == set(model_plans.ESTIMATORS)
-    assert all(c["folds"] == 5 and "weight" in c["train"].columns for c in calls)
-    full = [e() for e in model_plans.ESTIMATORS.values()]
+    boosted = caught(monkeypatch, md, "cross_validate_boosting", table)
+    names = {r.model for r in model_plans.cross_validation(None).collect()}
+    assert set(model_plans.BOOSTED) | names >= set(model_plans.ESTIMATORS)
+    assert all(c["folds"] == 5 and "weight" in c["train"].columns for c in calls + boosted)
+    full = [e() for n, e in model_plans.ESTIMATORS.items() if n not in model_plans.BOOSTED]
     assert [{p.name: v for p, v in c["estimator"].extractParamMap().items()} for c in calls] == [{p.name: v for p, v in e.extractParamMap().items()} for e in full]
-    calls.clear()
+    for name, s in boosted[0]["points"].items():
+        same = model_plans.ESTIMATORS[name]()
+        assert (s.trees, s.depth, s.rate, s.weighted) == (same.getMaxIter(), same.getMaxDepth(), same.getStepSize(), same.isSet("weightCol")) and boosted[0]["weight"] == "weight"
+    boosted.clear()
     model_plans.grid(None)
-    sizes = [len(v) for v in calls[0]["grid"].values()]
-    assert calls[0]["folds"] == 3 and sorted(sizes) == [2, 2, 2, 2, 3] and set(calls[0]["grid"]["featureSubsetStrategy"]) == {"0.8", "all"}
+    assert len(boosted[0]["points"]) == 48 and boosted[0]["folds"] == 3 and len(set(boosted[0]["points"].values())) == 48
+    assert {s.columns for s in boosted[0]["points"].values()} == {0.8, 1.0} and {s.trees for s in boosted[0]["points"].values()} == {100, 200}
     calls = caught(monkeypatch, md, "permutation_importance", None)
     model_plans.permutation(None)
     assert calls[0]["features"] in (None, calls[0]["columns"])
@@ -50,10 +55,8 @@ def test_segment_queries_run_in_full(monkeypatch):
     assert set(stability[0]["seeds"]) == {42, 123, 456, 789, 2024} and stability[0]["starts"] == 10
 
 
-def test_column_sampling_and_default_penalty_are_fitted(spark):
+def test_default_penalty_is_fitted(spark):
     rows = spark.range(200).select(F.col("id").cast("string").alias("key"), (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"),
                                    (F.col("id") % 7 > 2).cast("int").alias("y"))
-    tuned, _ = md.tune_boosting(rows, ["a", "b"], "y", "key", folds=2, grid={"maxIter": [1], "maxDepth": [2], "featureSubsetStrategy": md.BOOSTING_GRID["featureSubsetStrategy"]})
-    assert {r.parameters.split(",")[0] for r in tuned.collect()} == {"featureSubsetStrategy=0.8", "featureSubsetStrategy=all"}
     fitted = md.cross_validate(md.logistic(maxIter=5), rows, ["a", "b"], "y", "key", folds=2)[1]
     assert fitted.bestModel.stages[-1].getRegParam() == 2 / 200
