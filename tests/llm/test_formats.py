@@ -21,12 +21,6 @@ def test_every_block_meets_its_window_and_sources_stay_on_weight(spark):
     blocks = {s: -(-n // 3) for s, n in sizes.items()}
     slots = {r.slot: r.source for r in got}
     assert sorted(slots) == list(range(sum(blocks.values())))
-    # while all sources last, each has run less than one block more or less than its share
-    counts = mixing.apportion({k: v for k, v in [("a", .4), ("b", .4), ("c", .15), ("d", .05), ("", 0.0)]}, 40)
-    done = dict.fromkeys(counts, 0)
-    for t in range(min(blocks[s or None] // c for s, c in counts.items() if s) * 0 + 40 if blocks[None] >= counts[""] else 0):
-        done[slots[t] or ""] += 1
-        assert all(abs(done[s] - c * (t + 1) / 40) < 1 for s, c in counts.items())
 
 
 def brute_edf(counts, slots):
@@ -64,13 +58,56 @@ def test_cycles_use_every_block():
         slot = 0
         for c in plan:
             assert c["first_slot"] == slot and c["slots"] == sum(p["blocks"] for p in c["parts"])
-            slot += c["slots"] * c["repeats"]
+            slot += c["slots"]
             for p in c["parts"]:
                 assert p["first_block"] == used[p["source"]]
-                used[p["source"]] += p["blocks"] * c["repeats"]
+                used[p["source"]] += p["blocks"]
         assert used == blocks and len(plan) <= 2 * len(blocks) + 1
 
 
+PLAN = ("cycle int, first_slot bigint, slots bigint, whole bigint, starts array<array<bigint>>, "
+        "parts array<struct<source string, blocks bigint, first_block bigint, share bigint>>")
+
+
+def brute_phase(blocks, shares):
+    """Earliest deadline first over one whole phase, slot by slot."""
+    whole, done, order = sum(shares), [0] * len(blocks), []
+    for t in range(min(-(-n * whole // a) for n, a in zip(blocks, shares))):
+        ready = [(-(-(d + 1) * whole // a), i) for i, (d, n, a) in enumerate(zip(done, blocks, shares)) if d < n and d * whole // a <= t]
+        if not ready:
+            break
+        done[min(ready)[1]] += 1
+        order.append(min(ready)[1])
+    return done, order
+
+
+def test_schedule_against_plain_dealing(spark):
+    """Tasks deal every phase as a plain loop does, from starts inside it too; each block keeps to its window and each source
+    stays less than one block from its weight at every slot."""
+    rng = random.Random(12)
+    for case in range(6):
+        blocks = {f"s{i}": rng.choice([1, 2, 9, 60, 300]) for i in range(rng.randint(1, 7))}
+        weights = {s: rng.choice([0.0, 0.3, 1.0, 3.3]) for s in blocks}
+        for cycle in (100_000, rng.choice([1, 7, 40])):
+            plan = mixing.cycles(blocks, weights, cycle)
+            rows = mixing.literal_rows(spark, plan, PLAN)
+            got = sorted(mixing.schedule(rows, cycle).collect(), key=lambda r: r.slot)
+            assert [r.slot for r in got] == list(range(sum(blocks.values()))) and len({(r.source, r.block) for r in got}) == len(got)
+            left = dict(blocks)
+            for p in plan:
+                names, shares = [x["source"] for x in p["parts"]], [x["share"] for x in p["parts"]]
+                turns = [names.index(r.source) for r in got[p["first_slot"]:p["first_slot"] + p["slots"]]]
+                done, order = brute_phase([left[s] for s in names], shares)
+                assert turns == order and done == [x["blocks"] for x in p["parts"]]
+                done = [0] * len(names)
+                for t, i in enumerate(turns, 1):
+                    done[i] += 1
+                    assert all(abs(d * p["whole"] - a * t) < p["whole"] for d, a in zip(done, shares))
+                for x in p["parts"]:
+                    left[x["source"]] -= x["blocks"]
+            assert all(r.release <= r.slot < r.deadline for r in got) and not any(left.values())
+
+
 def test_sources_stay_on_exact_weight_over_many_cycles(spark, monkeypatch):
     def deviation(sizes, weights, cycle):
         docs = spark.createDataFrame([(i, s, "") for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))], "doc_id bigint, source string, text string")
