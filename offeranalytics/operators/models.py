@@ -4,7 +4,7 @@ from itertools import product
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import ordered
 from ..functions.scalars import column_stats, safe_ratio
 from ..functions.scale import durable
-from . import boosting as boosting_engine
+from . import attribution, boosting as boosting_engine
 from .boosting import Setting
 from .features import stratified_folds, stratified_numbers
 
@@ -247,16 +247,45 @@ def stratified_sample(df: DataFrame, label: str, key: str, n: int = 1000, seed:
 def permutation_importance(model: PipelineModel, df: DataFrame, columns: list[str], label: str, key: str, features: list[str] | None = None) -> DataFrame:
     """Loss of AUC when one feature's values move to other rows, for any model.
 
-    Rows are numbered by a hash of their key; a permuted feature comes from the row half the table away.
+    Rows are numbered by a hash of their key; a permuted feature comes from the row half the table away. Tree models score all
+    variants of a row side by side in one pass, others take a pass for each feature.
     """
     features = features or columns
     numbered = durable(stratified_numbers(df.withColumn("_all", F.lit(1)), "_all", key).drop("_all", "class_rows").withColumnRenamed("class_position", "_p"))
     rows = numbered.count()
-    donors = numbered.select(((F.col("_p") + rows // 2) % rows + 1).alias("_p"), *[F.col(c).alias(f"_new_{c}") for c in features])
-    paired = durable(numbered.join(donors, "_p"))
-    frames = [score(model, paired, label).withColumn("feature", F.lit("(none)"))]
-    for c in features:
-        frames.append(score(model, paired.withColumn(c, F.col(f"_new_{c}")), label).withColumn("feature", F.lit(c)))
-    areas = durable(roc_auc(score_counts(ordered.union_all(frames), ["feature"]), ["feature"]))
+    one_pass = isinstance(model.stages[-1], attribution.TREE_MODELS)
+    moved = columns if one_pass else features
+    donors = numbered.select(((F.col("_p") + rows // 2) % rows + 1).alias("_p"), *[F.col(c).alias(f"_new_{c}") for c in moved])
+    paired = numbered.join(donors, "_p")
+    if one_pass:
+        scored = variant_scores(model, paired, columns, label).filter(F.col("feature").isin("(none)", *features))
+    else:
+        paired = durable(paired)
+        frames = [score(model, paired, label).withColumn("feature", F.lit("(none)"))]
+        for c in features:
+            frames.append(score(model, paired.withColumn(c, F.col(f"_new_{c}")), label).withColumn("feature", F.lit(c)))
+        scored = ordered.union_all(frames)
+    areas = durable(roc_auc(score_counts(scored, ["feature"]), ["feature"]))
     base = areas.filter("feature = '(none)'").select("auc_roc").scalar()
     return areas.filter("feature <> '(none)'").select("feature", "auc_roc", (base - F.col("auc_roc")).alias("importance"))
+
+
+def variant_scores(model: PipelineModel, paired: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """(feature, label, score) of each row as it is, feature "(none)", and with each feature taken from its ``_new_`` column.
+
+    Scores are rounded to ten places, so that sums taken in another order still tie.
+    """
+    paths = attribution.leaf_paths(model, paired.sparkSession)
+    rows = paired.select(F.col(label).alias("label"), attribution.values_of(columns).alias("_x"), attribution.values_of(columns, "_new_").alias("_new"))
+    found = attribution.per_row(rows, ["_x", "_new"], lambda x, new: np.round(attribution.variants(paths, x, new), 10) + 0.0, "_scores")
+    names = F.array(*[F.lit(c) for c in ["(none)", *columns]])
+    return found.select("label", F.posexplode("_scores").alias("_at", "score")).select(F.get(names, F.col("_at")).alias("feature"), "label", "score")
+
+
+def attribution_check(model: PipelineModel, df: DataFrame, columns: list[str], tolerance: float = 1e-6) -> DataFrame:
+    """Rows, and rows whose attributions and base value do not add up to the value Spark's model gives."""
+    boosted = isinstance(model.stages[-1], GBTClassificationModel)
+    value = vector_to_array("rawPrediction" if boosted else "probability")[1]
+    parts = attribution.tree_attribution(model, model.transform(df).withColumn("_value", value), columns, ["_value"])
+    total = sum((F.col(f"`{c}`") for c in columns), F.col("base_value"))
+    return parts.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~(F.abs(total - F.col("_value")) <= tolerance)).alias("n_off"))

@@ -79,7 +79,7 @@ def ranking(d: Inputs):
 
 @query("m14_attribution_summary", f"SELECT avg(abs(v)) mean_abs, stddev_pop(abs(v)) std_abs, max(abs(v)) max_abs, min(abs(v)) min_abs FROM ({PARTS})",
        doubles="mean_abs std_abs max_abs min_abs")
-def attribution(d: Inputs):
+def attribution_summary(d: Inputs):
     return md.attribution_summary(md.linear_attribution(d.table("lineitem"), COEFFICIENTS), LINE_COEFFICIENTS)
 
 
@@ -190,3 +190,19 @@ def importance(d: Inputs):
 def permutation(d: Inputs):
     _, test, columns = _modelling(d)
     return md.permutation_importance(_fitted(d, "Random Forest"), test, columns, "completed", "pair")
+
+
+@query("m15_tree_attribution")
+def tree_attribution(d: Inputs):
+    """Features of the boosted model by mean absolute Shapley value over all test rows."""
+    _, test, columns = _modelling(d)
+    parts = md.attribution.tree_attribution(_fitted(d, "Gradient Boosting"), test, columns)
+    return md.attribution_ranking(durable(parts), columns, len(columns))
+
+
+@query("m15_attribution_check", f"""
+SELECT CAST(sum(round(n * CAST(0.2 AS DOUBLE))) AS BIGINT) n_rows, CAST(0 AS BIGINT) n_off FROM (SELECT completed, count(*) n FROM ({LABELS}) GROUP BY completed)""")
+def attribution_check(d: Inputs):
+    """Shapley values of all test rows add up to the boosted model's margin."""
+    _, test, columns = _modelling(d)
+    return md.attribution_check(_fitted(d, "Gradient Boosting"), test, columns)
