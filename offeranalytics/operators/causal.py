@@ -1,6 +1,6 @@
 """Treatment effects: naive, per segment and matched on a propensity score; experiment planning and readout."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -121,15 +121,20 @@ def matching_population(exposure: DataFrame, covariates: DataFrame, offer_type:
     return covariates.join(arms, "id")
 
 
-def propensity_scores(population: DataFrame, covariates=COVARIATES, max_iter: int = 1000) -> DataFrame:
-    """Adds ``score``, the fitted probability of treatment on standardised covariates with a unit L2 penalty."""
+def propensity_model(population: DataFrame, covariates=COVARIATES, max_iter: int = 1000) -> tuple[DataFrame, PipelineModel, list[str]]:
+    """Standardised rows, the logistic model of treatment on them with a unit L2 penalty, and its columns."""
     columns = [c for c in covariates if c in population.columns]
     scaled = durable(standardise(population, columns))
     penalty = 1.0 / max(1, scaled.count())
     assembled = VectorAssembler(inputCols=columns, outputCol="_features")
     model = LogisticRegression(featuresCol="_features", labelCol="treated", regParam=penalty, standardization=False, maxIter=max_iter)
-    scored = Pipeline(stages=[assembled, model]).fit(scaled).transform(scaled)
-    scores = scored.select("id", vector_to_array("probability")[1].alias("score"))
+    return scaled, Pipeline(stages=[assembled, model]).fit(scaled), columns
+
+
+def propensity_scores(population: DataFrame, covariates=COVARIATES, max_iter: int = 1000) -> DataFrame:
+    """Adds ``score``, the fitted probability of treatment on standardised covariates with a unit L2 penalty."""
+    scaled, model, _ = propensity_model(population, covariates, max_iter)
+    scores = model.transform(scaled).select("id", vector_to_array("probability")[1].alias("score"))
     return population.join(scores, "id")
 
 

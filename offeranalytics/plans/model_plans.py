@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.scale import durable
-from ..operators import features as ft, models as md
+from ..operators import certificates, features as ft, models as md
 from .feature_plans import LABELS
 from .registry import Inputs, query
 
@@ -192,6 +192,28 @@ def permutation(d: Inputs):
     return md.permutation_importance(_fitted(d, "Random Forest"), test, columns, "completed", "pair")
 
 
+SPLIT_COUNTS = f"""
+SELECT CAST(sum(n - test) AS BIGINT) n_train, CAST(sum(n - test) FILTER (completed = 1) AS BIGINT) n_train_positive, CAST(sum(test) AS BIGINT) n_test
+FROM (SELECT completed, count(*) n, round(count(*) * CAST(0.2 AS DOUBLE)) test FROM ({LABELS}) GROUP BY completed)"""
+
+
+@query("m01_logistic_check", f"SELECT n_train n_rows, n_train_positive n_positive, TRUE is_optimal FROM ({SPLIT_COUNTS})")
+def logistic_check(d: Inputs):
+    """No coefficient of the baseline model can be moved to lower its penalised loss over the training rows."""
+    train, _, columns = _modelling(d)
+    found = certificates.logistic_slope(_fitted(d, "Logistic Regression (Baseline)"), train, columns, "completed")
+    return found.select("n_rows", "n_positive", (F.col("slope") < 1e-3).alias("is_optimal"))
+
+
+@query("m12_comparison_check", f"""
+SELECT model, n_test n_rows, TRUE agrees, TRUE beats_chance FROM ({SPLIT_COUNTS}) CROSS JOIN (VALUES {", ".join(f"('{n}')" for n in ESTIMATORS)}) m(model)""")
+def comparison_check(d: Inputs):
+    """The area under the curve of every model over all test rows, the library's against Spark's evaluator."""
+    _, test, _ = _modelling(d)
+    found = certificates.area_agreement({n: _fitted(d, n) for n in ESTIMATORS}, test, "completed")
+    return found.select("model", "n_rows", (F.abs(F.col("auc_roc") - F.col("auc_spark")) < 1e-9).alias("agrees"), (F.col("auc_roc") > 0.5).alias("beats_chance"))
+
+
 @query("m15_tree_attribution")
 def tree_attribution(d: Inputs):
     """Features of the boosted model by mean absolute Shapley value over all test rows."""
@@ -200,8 +222,7 @@ def tree_attribution(d: Inputs):
     return md.attribution_ranking(durable(parts), columns, len(columns))
 
 
-@query("m15_attribution_check", f"""
-SELECT CAST(sum(round(n * CAST(0.2 AS DOUBLE))) AS BIGINT) n_rows, CAST(0 AS BIGINT) n_off FROM (SELECT completed, count(*) n FROM ({LABELS}) GROUP BY completed)""")
+@query("m15_attribution_check", f"SELECT n_test n_rows, CAST(0 AS BIGINT) n_off FROM ({SPLIT_COUNTS})")
 def attribution_check(d: Inputs):
     """Shapley values of all test rows add up to the boosted model's margin."""
     _, test, columns = _modelling(d)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import PROFILE_METRICS
 from ..functions.scale import durable
-from ..operators import charts, features as ft, segments as sg
+from ..operators import certificates, charts, features as ft, segments as sg
 from .registry import Inputs, query
 
 POINTS = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) e FROM embeddings"
@@ -205,3 +205,21 @@ def stability(d: Inputs):
 def components(d: Inputs):
     scaled = ft.clustering_matrix(d.features)
     return sg.principal_components(scaled, [c for c in scaled.columns if c != "id"], ["id"])[0]
+
+
+@query("k01_kmeans_check", "SELECT count(*) n_rows, CAST(4 AS BIGINT) n_clusters, CAST(0 AS BIGINT) n_misplaced, TRUE is_settled FROM profile")
+def kmeans_check(d: Inputs):
+    """Every customer is with the nearest centre, and every centre is the mean of its customers within the rule that ends a start."""
+    points = _customer_points(d)
+    model = sg.fit_kmeans(points, 4)
+    found = certificates.kmeans_stationarity(sg.predict(model, points), sg.centres(model, d.spark))
+    return found.select("n_rows", "n_clusters", "n_misplaced", (F.col("way") <= 0.01).alias("is_settled"))
+
+
+@query("f07_components_check", "SELECT count(*) n_rows, TRUE are_eigenvectors FROM profile")
+def components_check(d: Inputs):
+    """The projections of all customers come from orthonormal eigenvectors of the covariance matrix."""
+    scaled = durable(ft.clustering_matrix(d.features))
+    columns = [c for c in scaled.columns if c != "id"]
+    found = certificates.component_residuals(scaled, sg.principal_components(scaled, columns, ["id"])[0], columns, "id")
+    return found.select("n_rows", (F.col("residual") < 1e-6).alias("are_eigenvectors"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ordered
 from ..functions.scalars import is_transaction
-from ..operators import bootstrap as b, causal as c, funnel as f, stats as st
+from ..operators import bootstrap as b, causal as c, certificates, funnel as f, stats as st
 from .registry import Inputs, query
 
 
@@ -357,6 +357,15 @@ def propensity(d: Inputs):
     return c.propensity_scores(c.matching_population(exposure, c.propensity_covariates(d.profile), "bogo")).select("id", "treated", "score")
 
 
+@query("c05_propensity_check", f"SELECT count(*) n_rows, count(*) FILTER (treated = 1) n_positive, TRUE is_optimal FROM ({POPULATION})")
+def propensity_check(d: Inputs):
+    """No coefficient of the propensity model can be moved to lower its penalised loss over the population."""
+    exposure = c.person_exposure(d.events, d.portfolio)
+    scaled, model, columns = c.propensity_model(c.matching_population(exposure, c.propensity_covariates(d.profile), "bogo"))
+    found = certificates.logistic_slope(model, scaled, columns, "treated")
+    return found.select("n_rows", "n_positive", (F.col("slope") < 1e-3).alias("is_optimal"))
+
+
 PAIRS_ONCE = f"""
 SELECT treated_id, control_id, distance FROM (
 WITH u AS (SELECT id, treated, score, floor(score / 0.2) cell, row_number() OVER (PARTITION BY score, treated ORDER BY md5(id)) p FROM ({POPULATION}) WHERE score IS NOT NULL),
