@@ -198,3 +198,24 @@ def test_bootstrap_interval_covers_the_mean_and_has_the_right_width(spark):
     row = bootstrap.mean_interval(df, "v", F.col("id").cast("string"), ["arm"], replicates=400).first()
     assert row["ci_lower"] < row["mean"] < row["ci_upper"]
     assert (row["ci_upper"] - row["ci_lower"]) / 2 == pytest.approx(1.96 * 28.87 / 20000 ** 0.5, rel=0.15)
+
+
+def test_customers_of_the_pair_table_are_dealt_over_all_cores(spark):
+    from offeranalytics.functions.scale import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 2500, "id").rdd.getNumPartitions() == cores
+    assert spread(one, 2500, "id", per_task=100).rdd.getNumPartitions() == 25 and spread(one, 2500, "id").count() == 100
+
+
+def test_silhouette_sends_each_point_equally_often(spark, monkeypatch):
+    """The number of blocks does not follow the rows, and blocks worked through in slices give the same value."""
+    from offeranalytics.operators import segments as sg
+
+    df = spark.range(300).select("id", (F.col("id") % 3).alias("cluster"), F.array((F.col("id") % 3 + F.rand(1)).alias("x"), F.rand(2)).alias("features")).cache()
+    whole = sg.silhouette_euclidean(df, "id").first()
+    monkeypatch.setattr(sg, "SILHOUETTE_BLOCKS", 2)
+    sliced = sg.silhouette_euclidean(df, "id", block_rows=7)
+    assert sliced.first()["silhouette"] == pytest.approx(whole["silhouette"], abs=1e-9) and sliced.first()["n"] == 300
+    assert "sequence(0, 1" in sliced._jdf.queryExecution().analyzed().toString()
