@@ -80,17 +80,24 @@ def labelling_quality(points: DataFrame, label: str = "cluster") -> DataFrame:
         (F.col("s") / size).alias("silhouette_squared"))
 
 
+#: Blocks that the points of a Euclidean silhouette are dealt into, and the most rows of one.
+SILHOUETTE_BLOCKS = 16
+SILHOUETTE_BLOCK_ROWS = 100_000
+
+
 def silhouette_euclidean(points: DataFrame, key: str, label: str = "cluster", block_rows: int = 2_000) -> DataFrame:
     """Exact mean silhouette with plain Euclidean distance.
 
-    The definition needs every pairwise distance. Points are dealt into bounded blocks; each pair of blocks is one
-    task that returns only sums per point and cluster, so neither pairs nor whole clusters are ever held together.
+    The definition needs every pairwise distance. Points are dealt into a fixed number of blocks (more only where one would pass
+    ``SILHOUETTE_BLOCK_ROWS``), so each point is sent the same number of times whatever the table. Each pair of blocks is one
+    task, which holds the distances of ``block_rows`` by ``block_rows`` points at a time and returns sums per point and cluster.
     The work still grows with the square of the rows: for large tables use ``labelling_quality``.
     """
     import numpy as np
     import pandas as pd
 
-    blocks = max(1, math.ceil(points.count() / block_rows))
+    rows = points.count()
+    blocks = 1 if rows <= block_rows else max(SILHOUETTE_BLOCKS, math.ceil(rows / SILHOUETTE_BLOCK_ROWS))
     dealt = points.select(F.col(key).alias("k"), F.col(label).cast("long").alias("c"), "features",
                           F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("own"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -100,14 +107,18 @@ def silhouette_euclidean(points: DataFrame, key: str, label: str = "cluster", bl
     def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"k": [], "c": [], "other": [], "s": [], "n": []})
-        x, y = np.stack(a["features"]), np.stack(b["features"])
-        d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None] - 2 * x @ y.T, 0))
-        d[a["k"].to_numpy()[:, None] == b["k"].to_numpy()[None]] = 0.0
-        parts = []
-        for other in np.unique(b["c"]):
-            mask = (b["c"] == other).to_numpy()
-            parts.append(pd.DataFrame({"k": a["k"], "c": a["c"], "other": other, "s": d[:, mask].sum(1), "n": mask.sum()}))
-        return pd.concat(parts)
+        x, y, ka, kb = np.stack(a["features"]), np.stack(b["features"]), a["k"].to_numpy(), b["k"].to_numpy()
+        clusters = np.unique(b["c"])
+        member = (b["c"].to_numpy()[:, None] == clusters[None]).astype(np.float64)
+        total = np.zeros((len(x), len(clusters)))
+        for i in range(0, len(x), block_rows):
+            for j in range(0, len(y), block_rows):
+                p, q = x[i:i + block_rows], y[j:j + block_rows]
+                d = np.sqrt(np.maximum((p * p).sum(1)[:, None] + (q * q).sum(1)[None] - 2 * p @ q.T, 0))
+                d[ka[i:i + block_rows, None] == kb[None, j:j + block_rows]] = 0.0
+                total[i:i + block_rows] += d @ member[j:j + block_rows]
+        return pd.concat([pd.DataFrame({"k": a["k"], "c": a["c"], "other": other, "s": total[:, at], "n": int(member[:, at].sum())})
+                          for at, other in enumerate(clusters)])
 
     kind = points.schema[key].dataType.simpleString()
     partial = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(sums, f"k {kind}, c long, other long, s double, n long")
