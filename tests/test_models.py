@@ -62,3 +62,17 @@ def test_kmeans_sweep_stability_and_components(spark):
     assert sg.labelling_quality(sg.assign_nearest(points, sg.centres(model, spark))).first()["wcss"] == pytest.approx(costs[1], rel=1e-6)
     projected, shares = sg.principal_components(df, ["a", "b", "c"], ["id"])
     assert projected.count() == 150 and sum(shares) > 0.95 and projected.agg(F.avg("pc1")).first()[0] == pytest.approx(0, abs=1e-9)
+
+
+def test_logistic_folds_are_fitted_together(split, monkeypatch):
+    """One packed table for all folds, and the areas of Spark's own validator."""
+    packings, plain = [], md.newton.packed
+    monkeypatch.setattr(md.newton, "packed", lambda rows: packings.append(1) or plain(rows))
+    table, fitted = md.cross_validate(md.logistic(), split[0], COLUMNS, "y", "key", folds=3)
+    penalty = 3 / (2 * split[0].count())
+    theirs, other = md.cross_validate(md.logistic(regParam=penalty, tol=1e-10), split[0], COLUMNS, "y", "key", folds=3)
+    assert len(packings) == 1 and fitted.bestModel.stages[-1].getRegParam() == penalty
+    assert fitted.bestModel.stages[-1].coefficients.toArray() == pytest.approx(other.bestModel.stages[-1].coefficients.toArray(), abs=1e-5)
+    ours, theirs = table.first(), theirs.first()
+    assert ours.parameters == theirs.parameters == "default"
+    assert (ours.cv_auc_mean, ours.cv_auc_std) == pytest.approx((theirs.cv_auc_mean, theirs.cv_auc_std), abs=1e-4)
