@@ -87,8 +87,9 @@ def behavioural_columns() -> list[Column]:
             *[rates[r] for r in list(RATES)[3:]]]
 
 
-def behavioural_features(profile: DataFrame, events: DataFrame, portfolio: DataFrame) -> DataFrame:
-    activity = customer_activity(events, portfolio)
+def behavioural_features(profile: DataFrame, events: DataFrame, portfolio: DataFrame, activity: DataFrame | None = None) -> DataFrame:
+    """``activity``: what ``customer_activity`` gave for the same events, if it is at hand."""
+    activity = customer_activity(events, portfolio) if activity is None else activity
     return _all_customers(profile, activity, SPEND + OFFERS + TYPE_COUNTS).select("id", *behavioural_columns())
 
 
@@ -141,11 +142,13 @@ def timing_features(profile: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def customer_features(profile: DataFrame, events: DataFrame, portfolio: DataFrame, as_of=AS_OF,
-                      as_of_hours: int | None = None) -> DataFrame:
-    """All customer features. ``as_of_hours`` ignores later events, so features cannot see the outcome they predict."""
+                      as_of_hours: int | None = None, activity: DataFrame | None = None) -> DataFrame:
+    """All customer features. ``as_of_hours`` ignores later events, so features cannot see the outcome they predict.
+
+    ``activity``: what ``customer_activity`` gave for the same events up to that hour, if it is at hand."""
     if as_of_hours is not None:
         events = events.filter(F.col("time") <= as_of_hours)
-    activity = customer_activity(events, portfolio).withColumnRenamed("person", "id")
+    activity = (customer_activity(events, portfolio) if activity is None else activity).withColumnRenamed("person", "id")
     timing = response_times(events).withColumnRenamed("person", "id")
     # One stored table of customer rows: the three rankings and the final join all read it.
     base = scale.durable(

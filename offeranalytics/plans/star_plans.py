@@ -189,8 +189,8 @@ SELECT cluster, count(*) n, avg(completion_rate) r, avg(view_rate) v, avg(trans_
 FROM beh JOIN (SELECT id, income_imputed, age_imputed FROM demo) USING (id) JOIN clusters USING (id) GROUP BY cluster) LEFT JOIN rules USING (cluster)"""
 
 
-def _segment_features(d: Inputs):
-    return ft.join_features(ft.demographic_features(d.profile).select("id", "age_imputed", "income_imputed"), _behaviour(d))
+def _segment_features(d: Inputs, behaviour=None):
+    return ft.join_features(ft.demographic_features(d.profile).select("id", "age_imputed", "income_imputed"), _behaviour(d) if behaviour is None else behaviour)
 
 
 @query("b06_fact_segment_performance", SEGMENT_PERFORMANCE, doubles="avg_completion_rate avg_view_rate avg_age best_offer_completion_rate",
@@ -361,9 +361,13 @@ def box_plot(d: Inputs):
 
 
 def _exports(d: Inputs):
-    d.features = durable(d.features)  # most tables are built from them
-    profiles = sg.cluster_profiles(durable(_segment_features(d).join(d.clusters, "id")), list(LONG))
-    return star.export_tables(d.portfolio, d.events, d.features, d.clusters, d.rules, profiles, _effects(d), _lift(d), _by_type(d))
+    """All tables of the export. What several of them are built from is stored, so each is made from the events once."""
+    activity = durable(ft.customer_activity(d.events, d.portfolio))
+    d.features = durable(ft.customer_features(d.profile, d.events, d.portfolio, activity=activity))
+    behaviour, by_type, effects = (durable(t) for t in (ft.behavioural_features(d.profile, d.events, d.portfolio, activity), _by_type(d), _effects(d)))
+    lift = durable(tg.rule_lift(behaviour, d.clusters, d.rules, by_type))
+    profiles = sg.cluster_profiles(durable(_segment_features(d, behaviour).join(d.clusters, "id")), list(LONG))
+    return star.export_tables(d.portfolio, d.events, d.features, d.clusters, d.rules, profiles, effects, lift, by_type)
 
 
 EXPORTS = {

@@ -97,3 +97,27 @@ def test_export_is_whole_or_absent(spark, tmp_path):
     assert readers.read_table(spark, f"{base}/one").count() == 5
     assert tuple(writers.export_tables({"one": spark.range(9)}, base).first()) == ("one", 9, 1)
     assert readers.read_table(spark, f"{base}/one").count() == 9 and [p.name for p in tmp_path.iterdir() if "staging" in p.name] == []
+
+
+def test_export_makes_shared_inputs_once(spark, monkeypatch):
+    """Effects, lift and rates go into several exported tables: all of them are stored, and activity is counted once for all its uses."""
+    from types import SimpleNamespace
+
+    from offeranalytics.operators import features as ft
+    from offeranalytics.plans import star_plans as sp
+
+    stored, given, built = [], [], []
+    plain, activity = sp.durable, ft.customer_activity
+    monkeypatch.setattr(sp, "durable", lambda df: stored.append(plain(df)) or stored[-1])
+    monkeypatch.setattr(ft, "customer_activity", lambda *a: built.append(1) or activity(*a))
+    monkeypatch.setattr(sp.star, "export_tables", lambda *a: given.extend(a))
+    profile = spark.createDataFrame([("1", 30, "M", 50000.0, 20170101), ("2", 40, "F", 60000.0, 20170201)], "id string, age int, gender string, income double, became_member_on int")
+    portfolio = spark.createDataFrame([("0", "bogo", 5, 5, 7.0, ["email"])], "id string, offer_type string, difficulty int, reward int, duration double, channels array<string>")
+    events = spark.createDataFrame([("1", "offer received", 0, "0", None), ("1", "offer completed", 6, "0", None), ("2", "transaction", 3, None, 9.5)],
+                                   "person string, event string, time int, offer_id string, amount double")
+    clusters = profile.select("id", F.lit(1).alias("cluster"))
+    rules = spark.createDataFrame([(1, "bogo", None)], "cluster int, primary_offer string, secondary_offer string")
+    sp._exports(SimpleNamespace(profile=profile, portfolio=portfolio, events=events, clusters=clusters, rules=rules))
+    effects, lift, by_type = given[6:9]
+    assert len(built) == 1 and all(any(t is s for s in stored) for t in (given[2], effects, lift, by_type))
+    assert lift.first()["rule_based_completion_rate"] == 0.5 and by_type.first()["completion_rate"] == 1.0
